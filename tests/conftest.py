@@ -11,6 +11,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 def spark():
     from talkloom.session import local_session
 
-    s = local_session("4", 4)
+    s = local_session("4", 2)
     s.sparkContext.setLogLevel("ERROR")
     return s

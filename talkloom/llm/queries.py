@@ -5,14 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import mixing, packing, repetition, tokens
+from talkloom.llm import mixing, packing, repetition, splitting, tokens
 from talkloom.llm.sql import SQL
+from talkloom.session import checkpointed
 from talkloom.sources.tables import table
 
 #: Texts in which more than this share of the words is repeated are reported.
 REPEATED_ABOVE = 0.4
 
 
+def _pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.split(table(spark, folder, "words"), table(spark, folder, "oracle_raw"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Dialogues that had to be cut, and whether a stretch of speech leaves no silence to cut in."""
+    kind = F.when(F.col("long_stretch"), "forced").otherwise("natural")
+    return _pieces(spark, folder).where("piece_no = 1").select("dialogue_id", kind.alias("cut_kind"))
+
+
+def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece with its time, the kind of its end, and the number of its words and events."""
+    p = checkpointed(_pieces(spark, folder))
+    w = splitting.speech_of(table(spark, folder, "words")).select("dialogue_id", "word_idx", F.col("start_ms").alias("at")).distinct()
+    e = table(spark, folder, "oracle_raw").select("dialogue_id", "event_idx", F.col("timestamp_ms").alias("at")).distinct()
+    n = [splitting.members(p, x, "at").groupBy("dialogue_id", "piece_no").agg(F.count(F.lit(1)).alias(c)) for x, c in ((w, "n_words"), (e, "n_events"))]
+    out = p.join(n[0], ["dialogue_id", "piece_no"], "left").join(n[1], ["dialogue_id", "piece_no"], "left")
+    return out.select("dialogue_id", "piece_no", "from_ms", "to_ms", "end_kind", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_events", F.lit(0)).alias("n_events"))
+
+
 def p6_items(spark: SparkSession, folder: str) -> DataFrame:
     """A training item and a place in it for every text or piece."""
     docs = table(spark, folder, "documents").select("doc_id", tokens.n_tokens(F.col("text")).alias("n_tokens"))
@@ -76,6 +97,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p6_found": p6_found, "p6_items": p6_items, "p6_fill": p6_fill,
     "p7_found": p7_found, "p7_report": p7_report, "p7_uses": p7_uses,
     "p8_found": p8_found, "p8_share": p8_share, "p8_divergence": p8_divergence,

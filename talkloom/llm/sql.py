@@ -20,6 +20,20 @@ c AS (SELECT *, max(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 4
 s AS (SELECT doc_id, count(*) AS n_words, sum(covered) AS n_repeated FROM c GROUP BY doc_id)"""
 
 SQL = {
+    "p3_found": """
+WITH u AS (
+  SELECT dialogue_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM words
+  WHERE speaker IN ('A', 'B') AND "start" IS NOT NULL AND "end" IS NOT NULL AND NOT isnan("start") AND NOT isnan("end") AND "end" >= "start"
+), g AS (
+  SELECT *, max(e) OVER (PARTITION BY dialogue_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM u
+), i AS (
+  SELECT *, sum(CASE WHEN s - p > 300 THEN 1 ELSE 0 END) OVER (PARTITION BY dialogue_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM g
+), st AS (SELECT dialogue_id, k, max(e) - min(s) AS n FROM i GROUP BY dialogue_id, k),
+m AS (SELECT dialogue_id, max(n) AS n FROM st GROUP BY dialogue_id),
+sp AS (SELECT dialogue_id, min(s) AS f, max(e) AS l FROM u GROUP BY dialogue_id),
+ev AS (SELECT dialogue_id, max(timestamp_ms) AS t FROM oracle_raw GROUP BY dialogue_id)
+SELECT sp.dialogue_id, CASE WHEN m.n > 192000 THEN 'forced' ELSE 'natural' END AS cut_kind
+FROM sp JOIN m USING (dialogue_id) LEFT JOIN ev USING (dialogue_id) WHERE greatest(l, coalesce(t, l)) - f > 192000""",
     "p6_found": f"SELECT doc_id FROM documents WHERE {_TOKENS} > 2048",
     "p7_found": f"""
 WITH d AS (SELECT {_SOURCE} AS source, {_TOKENS} AS n FROM documents),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import mixing, packing, repetition, splitting, tokens
+from talkloom.llm import mixing, packing, repetition, splitting, tokens, turns
 from talkloom.llm.sql import SQL
 from talkloom.session import checkpointed
 from talkloom.sources.tables import table
@@ -34,6 +34,21 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("dialogue_id", "piece_no", "from_ms", "to_ms", "end_kind", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_events", F.lit(0)).alias("n_events"))
 
 
+def _spoken(spark: SparkSession, folder: str) -> DataFrame:
+    aliases = turns.alias_map(table(spark, folder, "speaker_aliases"))
+    return turns.spoken_words(table(spark, folder, "raw_words"), aliases, table(spark, folder, "dialogues"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn with its speaker, first word and number of words."""
+    return turns.turns(_spoken(spark, folder)).select("dialogue_id", "first_word_idx", "speaker", "n_words")
+
+
+def p5_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn in order, with time and words."""
+    return turns.texts(_spoken(spark, folder))
+
+
 def p6_items(spark: SparkSession, folder: str) -> DataFrame:
     """A training item and a place in it for every text or piece."""
     docs = table(spark, folder, "documents").select("doc_id", tokens.n_tokens(F.col("text")).alias("n_tokens"))
@@ -98,6 +113,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p3_found": p3_found, "p3_pieces": p3_pieces,
+    "p5_found": p5_found, "p5_turns": p5_turns,
     "p6_found": p6_found, "p6_items": p6_items, "p6_fill": p6_fill,
     "p7_found": p7_found, "p7_report": p7_report, "p7_uses": p7_uses,
     "p8_found": p8_found, "p8_share": p8_share, "p8_divergence": p8_divergence,

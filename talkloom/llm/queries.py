@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import mixing, packing, repetition, splitting, tokens, turns
+from talkloom.llm import mixing, packing, pairs, repetition, splitting, tokens, turns
 from talkloom.llm.sql import SQL
 from talkloom.session import checkpointed
 from talkloom.sources.tables import table
@@ -14,6 +14,16 @@ from talkloom.sources.tables import table
 REPEATED_ABOVE = 0.4
 
 
+def p2_defects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every defect of every event, with its posterior."""
+    return pairs.defects(table(spark, folder, "oracle_raw")).withColumn("posterior", F.round("posterior", 6))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every defective event with its first defect."""
+    return pairs.first_defect(pairs.defects(table(spark, folder, "oracle_raw")))
+
+
 def _pieces(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.split(table(spark, folder, "words"), table(spark, folder, "oracle_raw"))
 
@@ -112,6 +122,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found, "p2_defects": p2_defects,
     "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p5_found": p5_found, "p5_turns": p5_turns,
     "p6_found": p6_found, "p6_items": p6_items, "p6_fill": p6_fill,

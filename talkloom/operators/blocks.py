@@ -83,3 +83,38 @@ def join_blocks(rows: DataFrame, blocks: DataFrame, keys: list[str], block: str)
         on = on & F.col(k).eqNullSafe(F.col(f"__k{j}"))
     right = blocks.select(*[F.col(k).alias(f"__k{j}") for j, k in enumerate(keys)], F.col(block).alias("__b"), *cols)
     return rows.join(right, on, "left").select(*rows.columns, *cols)
+
+
+def _value(cols: list[str]) -> Column:
+    return F.struct(*cols)
+
+
+def neighbour(rows: DataFrame, keys: list[str], block: str, order: list[str], cols: list[str], after: bool = False, prefix: str = "prev_") -> DataFrame:
+    """Adds ``cols`` of the row before (or after) each row of its key, in the order of (block, ``order``), as prefix + name.
+
+    The order must be total inside a key; ``block`` must grow with it.
+    """
+    at = F.struct(*order)
+    pick = F.min_by(_value(cols), at) if after else F.max_by(_value(cols), at)
+    sums = rows.groupBy(*keys, block).agg(pick.alias("__v"))
+    sums = carry(sums, keys, block, [Carry("__far", "first" if after else "last", "__v", after)]).drop("__v")
+    w = Window.partitionBy(*keys, block).orderBy(*order)
+    near = (F.lead if after else F.lag)(_value(cols)).over(w)
+    out = join_blocks(rows, sums, keys, block).withColumn("__near", F.coalesce(near, F.col("__far")))
+    return out.select(*rows.columns, *[F.col(f"__near.{c}").alias(prefix + c) for c in cols])
+
+
+def running(rows: DataFrame, keys: list[str], block: str, order: list[str], func: str, col: str, out: str, inclusive: bool = True) -> DataFrame:
+    """Adds the running sum, max or min of ``col`` over the rows of a key up to each row (or before it)."""
+    agg = {"sum": F.sum, "max": F.max, "min": F.min}[func]
+    sums = carry(rows.groupBy(*keys, block).agg(agg(col).alias("__v")), keys, block, [Carry("__far", func, "__v")]).drop("__v")
+    w = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    near = agg(col).over(w)
+    rows2 = join_blocks(rows, sums, keys, block).withColumn("__near", near)
+    both = F.coalesce("__near", F.lit(0)) + F.col("__far") if func == "sum" else (F.greatest if func == "max" else F.least)("__near", "__far")
+    return rows2.select(*rows.columns, both.alias(out))
+
+
+def numbered(rows: DataFrame, keys: list[str], block: str, order: list[str], out: str) -> DataFrame:
+    """Adds the number, from 1, of each row in its key."""
+    return running(rows.withColumn("__one", F.lit(1).cast("bigint")), keys, block, order, "sum", "__one", out).drop("__one")

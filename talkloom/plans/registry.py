@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from talkloom.plans import quality, text
+from talkloom.plans import quality, speech, text
 
-MODULES = [quality, text]
+MODULES = [quality, text, speech]
 
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

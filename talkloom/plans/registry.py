@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from talkloom.plans import prediction, quality, speech, text
+from talkloom.plans import frames, prediction, quality, speech, text
 
-MODULES = [quality, text, speech, prediction]
+MODULES = [quality, text, speech, prediction, frames]
 
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

@@ -66,7 +66,7 @@ def aligner_form(text: Column, charset: str = "a-z'") -> Column:
 
 def reason_form(text: Column) -> Column:
     """A reason with lists as [..] and digits as #, at most 90 characters: reasons alike fall together."""
-    return F.substring(F.regexp_replace(F.regexp_replace(text, r"\[[^\]]*\]", "[..]"), r"[0-9]+", "#"), 1, 90)
+    return F.substring(F.regexp_replace(F.regexp_replace(text, r"\[[^\]]*\]", "[..]"), r"[0-9]+(\.[0-9]+)?", "#"), 1, 90)
 
 
 def relabelled(context: Column) -> Column:

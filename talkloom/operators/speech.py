@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from talkloom.operators.blocks import neighbour, numbered, running
 from talkloom.operators.intervals import BLOCK_MS, periods, to_ms, usable
+from talkloom.session import checkpointed
 
 #: Frames a second, and the length of a frame in seconds.
 FRAME_RATE, FRAME_S = 12.5, 0.08
@@ -43,7 +44,7 @@ def overlap_report(w: DataFrame) -> DataFrame:
     Stretches of one speaker don't overlap, so the time of both at once is what the two sums have more than
     their union; no join of stretches with stretches is needed.
     """
-    s = stretches(w)
+    s = checkpointed(stretches(w))
     n = F.col("period_end_ms") - F.col("period_start_ms")
     own = s.groupBy("dialogue_id").agg(*[F.coalesce(F.sum(F.when(F.col("speaker") == x, n)), F.lit(0)).alias(f"{x.lower()}_ms") for x in "AB"])
     union = periods(s.select("dialogue_id", F.col("period_start_ms").alias("start_ms"), F.col("period_end_ms").alias("end_ms")), ["dialogue_id"])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from talkloom.plans import frames, prediction, quality, reports, speech, text
+from talkloom.plans import frames, prediction, quality, reports, scripts, speech, text
 
-MODULES = [quality, text, speech, prediction, frames, reports]
+MODULES = [quality, text, speech, prediction, frames, reports, scripts]
 
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from talkloom.operators import speech
 from talkloom.operators.blocks import neighbour, numbered
 from talkloom.plans.text import EVENTS_SQL, _events
+from talkloom.session import checkpointed
 from talkloom.sources.tables import table
 
 
 def _words(spark: SparkSession, folder: str) -> DataFrame:
-    return speech.clean_words(table(spark, folder, "words"))
+    """Clean words, written once, as most queries go over them several times."""
+    return checkpointed(speech.clean_words(table(spark, folder, "words")))
 
 
 def n1_switches(spark: SparkSession, folder: str) -> DataFrame:

@@ -105,7 +105,7 @@ SQL = {
     "f1_word_counts": f"SELECT doc_id, {_NWORDS.format('text')} AS n_words, len(regexp_extract_all(lower(coalesce(text, '')), '[a-z'']+')) AS n_plain FROM documents",
     "f3_normal_forms": f"""SELECT DISTINCT prediction, {_CREW.format('prediction')} AS crew_form, regexp_replace(lower(prediction), '[^\\p{{L}}\\p{{N}}'']', '', 'g') AS letters_only,
 regexp_replace(replace(lower(prediction), '’', ''''), '[^a-z'']', '', 'g') AS aligner_form FROM oracle_raw WHERE prediction IS NOT NULL""",
-    "f6_reasons": """SELECT left(regexp_replace(regexp_replace(hint, '\\[[^\\]]*\\]', '[..]', 'g'), '[0-9]+', '#', 'g'), 90) AS form, count(*) AS n
+    "f6_reasons": """SELECT left(regexp_replace(regexp_replace(hint, '\\[[^\\]]*\\]', '[..]', 'g'), '[0-9]+(\\.[0-9]+)?', '#', 'g'), 90) AS form, count(*) AS n
 FROM oracle_raw WHERE hint <> '' GROUP BY 1 ORDER BY n DESC, form LIMIT 10""",
     "f7_contexts": f"""
 WITH {EVENTS_SQL}, c AS (

@@ -115,7 +115,7 @@ def pack_items(sizes: list[int], capacity: int) -> list[list[int]]:
 
 def _pack_shard(capacity: int, level: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["id", "piece", "copy"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["id", "item_tokens", "piece", "copy"], kind="stable").reset_index(drop=True)
         sizes = pdf["tokens"].tolist()
         number, offset, place, free = [0] * len(sizes), [0] * len(sizes), [0] * len(sizes), [0] * len(sizes)
         for k, b in enumerate(pack_items(sizes, capacity)):
@@ -126,19 +126,19 @@ def _pack_shard(capacity: int, level: int):
                 at += sizes[i]
         pdf["item_no"] = (pdf["shard"] * BINS + pd.Series(number, dtype="int64")) * 2 + level
         pdf["place"], pdf["start_token"], pdf["free"] = place, offset, free
-        return pdf[["id", "copy", "piece", "first_token", "tokens", "item_no", "place", "start_token", "free"]]
+        return pdf[["id", "item_tokens", "copy", "piece", "first_token", "tokens", "item_no", "place", "start_token", "free"]]
 
     return run
 
 
-_OUT = "id {t}, copy bigint, piece bigint, first_token bigint, tokens bigint, item_no bigint, place bigint, start_token bigint, free bigint"
+_OUT = "id {t}, item_tokens bigint, copy bigint, piece bigint, first_token bigint, tokens bigint, item_no bigint, place bigint, start_token bigint, free bigint"
 
 
 def pack(sizes: DataFrame, id_col: str, tokens_col: str, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """Assigns every item, or every piece of an item larger than ``capacity``, to a container.
 
-    ``sizes`` has one row per item. The result has id, copy (rows with equal id and size are counted 1, 2, ...),
-    piece (0, 1, ...), first_token (of the piece in its item), tokens, item_no (the container; unique, not
+    ``sizes`` has one row per item. The result has id, item_tokens (the item's size), copy (rows with equal id
+    and size are counted 1, 2, ...), piece (0, 1, ...), first_token (of the piece in its item), tokens, item_no (the container; unique, not
     dense), place (order in the container) and start_token (where it begins there). An item is split only if
     it exceeds the capacity: into pieces of the capacity, which fill a container each, and a rest. Sizes of
     null or 0 take no room but get a place. Further columns are ignored; an empty table gives no rows.
@@ -154,16 +154,16 @@ def pack(sizes: DataFrame, id_col: str, tokens_col: str, capacity: int = CAPACIT
         .agg(F.count(F.lit(1)).alias("copies"))
         .select("id", "n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
         .select("id", "n", "copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.floor((F.col("n") - 1) / capacity), F.lit(0)))).alias("piece"))
-        .select("id", "copy", "piece", (F.col("piece") * capacity).alias("first_token"), F.least(F.col("n") - F.col("piece") * capacity, F.lit(capacity)).alias("tokens"))
+        .select("id", F.col("n").alias("item_tokens"), "copy", "piece", (F.col("piece") * capacity).alias("first_token"), F.least(F.col("n") - F.col("piece") * capacity, F.lit(capacity)).alias("tokens"))
     )
     items = checkpointed(items)  # counted, then dealt to that many shards
 
     def dealt(df: DataFrame, level: int) -> DataFrame:
         shards = max(1, -(-df.count() // shard_items))
-        h = F.xxhash64("id", "copy", "piece", F.lit(level))
+        h = F.xxhash64("id", "item_tokens", "copy", "piece", F.lit(level))
         return df.withColumn("shard", F.pmod(h, F.lit(shards))).groupBy("shard").applyInPandas(_pack_shard(capacity, level), _OUT.format(t=kind))
 
     first = checkpointed(dealt(items, 0))
     still = F.col("free") > capacity * OPEN_SHARE
-    again = dealt(first.where(still).select("id", "copy", "piece", "first_token", "tokens"), 1)
+    again = dealt(first.where(still).select("id", "item_tokens", "copy", "piece", "first_token", "tokens"), 1)
     return first.where(~still).unionByName(again).drop("free")

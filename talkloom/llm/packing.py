@@ -17,6 +17,8 @@ SHARD_ITEMS = 8192
 BINS = 1 << 20
 #: Bins with more than this share of free room after the first round are packed again with those of other shards.
 OPEN_SHARE = 0.01
+#: Tasks of a round, at most.
+TASKS = 200_000
 #: Sweeps of the local search over the bins of a shard, at most.
 SWEEPS = 30
 
@@ -161,7 +163,8 @@ def pack(sizes: DataFrame, id_col: str, tokens_col: str, capacity: int = CAPACIT
     def dealt(df: DataFrame, level: int) -> DataFrame:
         shards = max(1, -(-df.count() // shard_items))
         h = F.xxhash64("id", "item_tokens", "copy", "piece", F.lit(level))
-        return df.withColumn("shard", F.pmod(h, F.lit(shards))).groupBy("shard").applyInPandas(_pack_shard(capacity, level), _OUT.format(t=kind))
+        dealt_ = df.withColumn("shard", F.pmod(h, F.lit(shards))).repartition(min(shards, TASKS), "shard")  # a task per shard
+        return dealt_.groupBy("shard").applyInPandas(_pack_shard(capacity, level), _OUT.format(t=kind))
 
     first = checkpointed(dealt(items, 0))
     still = F.col("free") > capacity * OPEN_SHARE

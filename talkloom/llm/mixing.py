@@ -74,12 +74,14 @@ def budgets(docs: DataFrame, targets: DataFrame, source: str, tokens: str) -> tu
     Both follow from one count of texts by source and exact length, which is far smaller than the table.
     """
     hist = docs.groupBy(F.col(source).alias("source"), F.coalesce(F.col(tokens), F.lit(0)).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
-    total = hist.agg(F.coalesce(F.sum(F.col("n_tokens") * F.col("n_docs")), F.lit(0)).alias("corpus_tokens"))
+    total = hist.groupBy(F.lit(0).alias("__one")).agg(F.sum(F.col("n_tokens") * F.col("n_docs")).alias("corpus_tokens"))
     size = hist.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n_docs")).alias("source_tokens"), F.sum("n_docs").alias("source_docs"))
     per = (
         targets.select("source", "target_share", F.coalesce("max_repeats", F.lit(0)).alias("max_repeats"))
         .join(size, "source", "left")
-        .join(F.broadcast(total))  # one row
+        .withColumn("__one", F.lit(0))
+        .join(total, "__one", "left")  # one row, or none for an empty table
+        .withColumn("corpus_tokens", F.coalesce("corpus_tokens", F.lit(0)))
         .select(
             "source", "target_share", "max_repeats", "corpus_tokens",
             F.coalesce("source_tokens", F.lit(0)).alias("source_tokens"),

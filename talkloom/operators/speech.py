@@ -96,19 +96,36 @@ def frame_of(seconds: Column) -> Column:
     return F.round((seconds - seconds % F.lit(FRAME_S)) / F.lit(FRAME_S)).cast("bigint")
 
 
-def placed(w: DataFrame) -> DataFrame:
-    """Words on the frame grid of their speaker: each in the first free frame at or after its own, in order of start.
+def placed(w: DataFrame, order: tuple[str, ...] = ("word_idx",)) -> DataFrame:
+    """Words, or pieces of words, on the frame grid of their speaker: each in the first free frame at or after its own, in order of start.
 
-    Columns dialogue_id, speaker, word_idx, frame, dropped (beyond the last frame, as the row is one second
+    Columns dialogue_id, speaker, ``order``, frame, dropped (beyond the last frame, as the row is one second
     longer than the last word), end_pad (whether the frame before is free). Slots don't fall in this order, so
-    the first free frame is rn + running max(slot - rn).
+    the first free frame is rn + running max(slot - rn). ``order`` tells rows of one start apart.
     """
-    keys = ["dialogue_id", "speaker"]
+    keys, by = ["dialogue_id", "speaker"], ["start_ms", *order]
     rows = w.withColumn("slot", frame_of(F.col("start_ms") / 1000)).withColumn("block", F.floor(F.col("start_ms") / BLOCK_MS))
-    rows = numbered(rows, keys, "block", ["start_ms", "word_idx"], "rn").withColumn("lead", F.col("slot") - F.col("rn"))
-    rows = running(rows, keys, "block", ["start_ms", "word_idx"], "max", "lead", "m").withColumn("frame", F.col("rn") + F.col("m"))
-    rows = neighbour(rows, keys, "block", ["start_ms", "word_idx"], ["frame"])
-    last = w.groupBy(*keys).agg(F.max_by("end_ms", F.struct("start_ms", "word_idx")).alias("last_ms"))
+    rows = numbered(rows, keys, "block", by, "rn").withColumn("lead", F.col("slot") - F.col("rn"))
+    rows = running(rows, keys, "block", by, "max", "lead", "m").withColumn("frame", F.col("rn") + F.col("m"))
+    rows = neighbour(rows, keys, "block", by, ["frame"])
+    last = w.groupBy(*keys).agg(F.max_by("end_ms", F.struct(*by)).alias("last_ms"))
     size = F.floor((F.col("last_ms") / 1000 + 1) * FRAME_RATE)
     free = (F.col("frame") > 0) & (F.coalesce("prev_frame", F.lit(-1)) < F.col("frame") - 1)
-    return rows.join(last, keys).select(*keys, "word_idx", "frame", (F.col("frame") >= size).alias("dropped"), free.alias("end_pad"))
+    return rows.join(last, keys).select(*keys, *order, "frame", (F.col("frame") >= size).alias("dropped"), free.alias("end_pad"))
+
+
+def pieces(w: DataFrame, cut: Column | None = None) -> DataFrame:
+    """Pieces of words with times: (dialogue_id, speaker, word_idx, piece_idx, piece, start_ms, end_ms).
+
+    ``cut`` gives the pieces of ``word`` (an array of texts that make up the word; by default its characters, at
+    least one). A piece starts and ends where its characters do, if the word's characters share its time evenly.
+    """
+    c = cut if cut is not None else F.when(F.length("word") > 0, F.split("word", "")).otherwise(F.array(F.lit("")))
+    at = F.aggregate(F.slice("ps", 1, F.col("piece_idx")), F.lit(0), lambda a, x: a + F.length(x))
+    n = F.greatest(F.length("word"), F.lit(1))
+    x = w.withColumn("ps", c).select("*", F.posexplode("ps").alias("piece_idx", "piece")).withColumn("at", at)
+    span = F.col("end_ms") - F.col("start_ms")
+    return x.select(
+        "dialogue_id", "speaker", "word_idx", "piece_idx", "piece",
+        (F.col("start_ms") + span * F.col("at") / n).alias("start_ms"), (F.col("start_ms") + span * (F.col("at") + F.length("piece")) / n).alias("end_ms"),
+    )

@@ -116,6 +116,20 @@ def a13_violations(spark: SparkSession, folder: str) -> DataFrame:
     return _metrics(spark, folder).groupBy(rule.alias("rule")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def a16_thresholds(spark: SparkSession, folder: str) -> DataFrame:
+    """Per label, how many dialogues pass under the strict and under the loose thresholds."""
+    m = _sims(spark, folder).groupBy("label", "dialogue").agg(F.min("sim").alias("least"), (F.max("sim") - F.min("sim")).alias("spread"))
+    ok = lambda g: (F.col("least") >= GRID[g][0]) & (F.col("spread") <= GRID[g][1])
+    return m.groupBy("label").agg(F.count_if(ok(0)).alias("strict"), F.count_if(ok(2)).alias("loose"), F.count(F.lit(1)).alias("n"))
+
+
+def pred_drops(spark: SparkSession, folder: str) -> DataFrame:
+    """Why a dialogue is dropped, the first rule that applies: no language, a listed voice, no duration."""
+    d = _dialogues(spark, folder)
+    why = F.when(F.col("lang").isNull(), "language").when(F.col("passenger_voice_id").isin("pax_01", "pax_02"), "voice").when(F.col("seconds").isNull(), "duration")
+    return d.select("dialogue_id", why.alias("why")).where("why is not null")
+
+
 def j12_what_if(spark: SparkSession, folder: str) -> DataFrame:
     """How many dialogues would pass under each row of a grid of thresholds; the grid is an array in each row, no join."""
     grid = F.array(*[F.struct(F.lit(i).alias("row"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for i, (a, b, c) in enumerate(GRID)])
@@ -231,8 +245,8 @@ def ev_breakdown(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        a2_corpus, a3_crosstab, a4_breakdown, a5_voices, a6_worst, a7_p10, a8_p10, a9_median, a12_metrics, a13_violations, a22_languages, a24_means, ev_breakdown, io10_shards,
-        j1_complete, j2_missing, j5_tiers, j6_map_lookup, j10_nearest, j12_what_if, j13_medoids, j14_differences, k5_quota, k6_sample, k7_choice, u2_sets,
+        a2_corpus, a3_crosstab, a4_breakdown, a5_voices, a6_worst, a7_p10, a8_p10, a9_median, a12_metrics, a13_violations, a16_thresholds, a22_languages, a24_means, ev_breakdown, io10_shards,
+        j1_complete, j2_missing, j5_tiers, j6_map_lookup, j10_nearest, j12_what_if, j13_medoids, j14_differences, k5_quota, k6_sample, k7_choice, pred_drops, u2_sets,
     )
 }
 
@@ -260,6 +274,9 @@ SQL = {
     "a9_median": _STAT.format(s=_SIMS, k="label", at="n // 2"),
     "a12_metrics": f"WITH {_MET} SELECT * FROM mt",
     "a13_violations": f"WITH {_MET} SELECT CASE WHEN least < 780 THEN 'least' WHEN spread > 120 THEN 'spread' WHEN drop > 60 THEN 'drop' ELSE 'none' END AS rule, count(*) AS n FROM mt GROUP BY 1",
+    "a16_thresholds": f"""WITH {_SIMS}, m AS (SELECT label, dialogue, min(sim) AS least, max(sim) - min(sim) AS spread FROM si GROUP BY ALL)
+SELECT label, count(*) FILTER (WHERE least >= 780 AND spread <= 120) AS strict, count(*) FILTER (WHERE least >= 650 AND spread <= 250) AS loose, count(*) AS n FROM m GROUP BY label""",
+    "pred_drops": f"WITH {_D}, w AS (SELECT dialogue_id, CASE WHEN lang IS NULL THEN 'language' WHEN passenger_voice_id IN ('pax_01', 'pax_02') THEN 'voice' WHEN seconds IS NULL THEN 'duration' END AS why FROM d) SELECT * FROM w WHERE why IS NOT NULL",
     "a22_languages": "SELECT coalesce(category, '?') AS category, string_agg(DISTINCT coalesce(lang, 'None'), '|' ORDER BY coalesce(lang, 'None')) AS langs FROM dialogues GROUP BY 1",
     "a24_means": "SELECT load_id, round(CAST(sum(CAST(r AS DECIMAL(18,6))) AS DOUBLE) / count(r), 6) AS mean_ratio, count(r) AS n FROM (SELECT load_id, CASE WHEN NOT isnan(current_spoken_ratio) THEN current_spoken_ratio END AS r FROM oracle_raw) GROUP BY 1",
     "ev_breakdown": "SELECT user_id % 10 AS user_group, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY ALL",

@@ -60,6 +60,13 @@ def n13_frames(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def o3_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Characters of words on the frame grid, summed up per speaker."""
+    p = speech.placed(speech.pieces(_words(spark, folder)), ("word_idx", "piece_idx"))
+    kept = ~F.col("dropped")
+    return p.groupBy("dialogue_id", "speaker").agg(F.count(F.lit(1)).alias("n_pieces"), F.count_if("dropped").alias("n_dropped"), F.count_if(kept & F.col("end_pad")).alias("n_end_pads"), F.sum(F.when(kept, F.col("frame"))).alias("sum_frames"))
+
+
 def n15_rotation(spark: SparkSession, folder: str) -> DataFrame:
     """Dialogues in rotation of voices inside a category: the round each is in."""
     d = table(spark, folder, "dialogues").select("dialogue_id", F.coalesce("category", F.lit("?")).alias("category"), F.coalesce("passenger_voice_id", F.lit("?")).alias("voice"))
@@ -95,7 +102,7 @@ def u1_streams(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (n1_switches, n2_stretches, n3_overlap, n4_timeline, n5_end_of_run, n12_pauses, n13_frames, n15_rotation, a18_histogram, a19_short_turns, k2_worst, u1_streams)
+    for f in (n1_switches, n2_stretches, n3_overlap, n4_timeline, n5_end_of_run, n12_pauses, n13_frames, o3_pieces, n15_rotation, a18_histogram, a19_short_turns, k2_worst, u1_streams)
 }
 
 WORDS_SQL = """
@@ -145,6 +152,15 @@ b AS (SELECT *, rn + max(slot - rn) OVER (PARTITION BY dialogue_id, speaker ORDE
 c AS (SELECT *, frame >= size AS dropped, frame > 0 AND coalesce(lag(frame) OVER (PARTITION BY dialogue_id, speaker ORDER BY s, word_idx), -1) < frame - 1 AS end_pad FROM b)
 SELECT dialogue_id, speaker, count(*) AS n_words, count(*) FILTER (WHERE dropped) AS n_dropped, count(*) FILTER (WHERE NOT dropped AND end_pad) AS n_end_pads,
   max(frame) FILTER (WHERE NOT dropped) AS last_frame, CAST(sum(frame) FILTER (WHERE NOT dropped) AS BIGINT) AS sum_frames FROM c GROUP BY dialogue_id, speaker""",
+    "o3_pieces": f"""WITH {WORDS_SQL},
+pc AS (SELECT *, unnest(range(greatest(length(word), 1))) AS k, greatest(length(word), 1) AS n FROM w),
+pt AS (SELECT dialogue_id, speaker, word_idx, k, s + (e - s) * k / n AS ps, s + (e - s) * (k + least(length(word), 1)) / n AS pe FROM pc),
+a AS (SELECT *, CAST(round((ps / 1000 - (ps / 1000) % 0.08::DOUBLE) / 0.08::DOUBLE) AS BIGINT) AS slot, row_number() OVER o AS rn, last_value(pe) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_ms
+  FROM pt WINDOW o AS (PARTITION BY dialogue_id, speaker ORDER BY ps, word_idx, k)),
+b AS (SELECT *, rn + max(slot - rn) OVER (PARTITION BY dialogue_id, speaker ORDER BY ps, word_idx, k ROWS UNBOUNDED PRECEDING) AS frame, floor((last_ms / 1000 + 1) * 12.5) AS size FROM a),
+c AS (SELECT *, frame >= size AS dropped, frame > 0 AND coalesce(lag(frame) OVER (PARTITION BY dialogue_id, speaker ORDER BY ps, word_idx, k), -1) < frame - 1 AS end_pad FROM b)
+SELECT dialogue_id, speaker, count(*) AS n_pieces, count(*) FILTER (WHERE dropped) AS n_dropped, count(*) FILTER (WHERE NOT dropped AND end_pad) AS n_end_pads,
+  CAST(sum(frame) FILTER (WHERE NOT dropped) AS BIGINT) AS sum_frames FROM c GROUP BY dialogue_id, speaker""",
     "n15_rotation": """SELECT dialogue_id, coalesce(category, '?') AS category, coalesce(passenger_voice_id, '?') AS voice,
 row_number() OVER (PARTITION BY coalesce(category, '?'), coalesce(passenger_voice_id, '?') ORDER BY dialogue_id) AS round FROM dialogues""",
     "a18_histogram": f"WITH {WORDS_SQL}, {_REPORT} SELECT CAST(least(floor(n_switches * 100 / n_words / 5) * 5, 60) AS BIGINT) AS bin, count(*) AS n, count(*) FILTER (WHERE flag) AS n_flagged FROM rep GROUP BY 1",

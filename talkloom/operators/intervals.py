@@ -16,9 +16,13 @@ def to_ms(seconds: Column) -> Column:
     return F.round(seconds * 1000).cast("bigint")
 
 
+#: Times beyond this many seconds, infinite ones too, are taken for missing.
+FAR_S = 1e11
+
+
 def usable(start: Column, end: Column) -> Column:
     """Start and end present, not NaN, and end >= start."""
-    return start.isNotNull() & end.isNotNull() & ~F.isnan(start) & ~F.isnan(end) & (end >= start)
+    return start.isNotNull() & end.isNotNull() & ~F.isnan(start) & ~F.isnan(end) & (end >= start) & (start > -FAR_S) & (end < FAR_S)
 
 
 def merged_blocks(df: DataFrame, keys: list[str], start: str = "start_ms", end: str = "end_ms", block_ms: int = BLOCK_MS) -> DataFrame:

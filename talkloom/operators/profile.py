@@ -54,9 +54,7 @@ def value_counts(df: DataFrame, load: str, rules: Sequence[Rule]) -> DataFrame:
         c, t = F.col(f"`{r.name}`"), df.schema[r.name].dataType
         x = _measure(c, t)
         empty = (c == "") if _is_text(t) else F.lit(False)
-        bad = F.coalesce(~empty & ~c.rlike(f"^(?:{r.pattern})$") & ~c.rlike(r"[\r\n]$"), F.lit(False)) if r.pattern else F.lit(False)
-        if r.pattern:
-            bad = bad | F.coalesce(c.rlike(r"[\r\n]$"), F.lit(False))
+        bad = F.coalesce(~empty & ~c.rlike(rf"\A(?:{r.pattern})\z"), F.lit(False)) if r.pattern else F.lit(False)
         cls = F.lit(CLASSES + 1)
         for i, cond in reversed(list(enumerate(r.classes, 1))):
             cls = F.when(F.coalesce(cond, F.lit(False)), i).otherwise(cls)

@@ -40,6 +40,6 @@ def test_periods_and_gaps_against_brute_force(spark, seed, block):
 def test_empty_table_and_usable_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert intervals.gaps(empty, ["k"]).count() == 0 and intervals.periods(empty, ["k"]).count() == 0
-    rows = [("d", "A", 0.0, 1.0), ("d", "A", 1.0005, 2.0), ("d", "X", 0.0, 9.0), ("d", "A", float("nan"), 3.0), ("d", "A", 5.0, 4.0), ("d", None, 0.0, 1.0), ("d", "A", None, 1.0)]
+    rows = [("d", "A", 0.0, 1.0), ("d", "A", 1.0005, 2.0), ("d", "X", 0.0, 9.0), ("d", "A", float("nan"), 3.0), ("d", "A", 5.0, 4.0), ("d", None, 0.0, 1.0), ("d", "A", None, 1.0), ("d", "A", 0.0, float("inf"))]
     w = spark.createDataFrame(rows, "dialogue_id string, speaker string, start double, end double")
     assert [tuple(r) for r in intervals.usable_speech(w).collect()] == [("d", "A", 0, 1000), ("d", "A", 1001, 2000)]

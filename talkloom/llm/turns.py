@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.operators.blocks import Carry, carry, join_blocks
+from talkloom.operators.intervals import FAR_S
 
 #: Length of the blocks that a dialogue is cut into, and how far around a block notes over several rows are seen.
 BLOCK_S, HALO_S = 600, 20
@@ -60,7 +61,7 @@ def bare(word: Column) -> Column:
 def _parse(rows: DataFrame, aliases: dict[str, str]) -> DataFrame:
     """One row per (dialogue_id, word_idx) with a start, with what follows from the row alone."""
     newest = F.max(F.struct("loaded_at", "start", "end", "speaker", "word")).alias("v")
-    r = rows.withColumn("start", F.when(~F.isnan("start"), F.col("start"))).groupBy("dialogue_id", "word_idx").agg(newest)
+    r = rows.withColumn("start", F.when(F.abs("start") < FAR_S, F.col("start"))).groupBy("dialogue_id", "word_idx").agg(newest)
     r = r.select("dialogue_id", "word_idx", "v.*").where(F.col("start").isNotNull())
     amap = F.create_map(*[F.lit(x) for kv in sorted(aliases.items()) for x in kv]) if aliases else F.create_map().cast("map<string,string>")
     word = F.coalesce("word", F.lit(""))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from talkloom.operators.blocks import Carry, carry, join_blocks
 from talkloom.operators.intervals import FAR_S
+from talkloom.session import checkpointed
 
 #: Length of the blocks that a dialogue is cut into, and how far around a block notes over several rows are seen.
 BLOCK_S, HALO_S = 600, 20
@@ -122,7 +123,7 @@ def spoken_words(rows: DataFrame, aliases: dict[str, str], dialogues: DataFrame)
     of ten minutes between which the last label, the last speaker and the turn number are carried. An empty
     table gives no rows; further columns are ignored.
     """
-    r = _without_notes(_parse(rows, aliases))
+    r = checkpointed(_without_notes(_parse(rows, aliases)))  # gone over five times from here
     counts = [F.sum(F.when(F.col("core").isin(*ws), 1).otherwise(0)).alias(f"f_{g}") for g, ws in FREQUENT.items()]
     order = F.when(F.col("label").isNotNull(), F.struct("start", "word_idx"))
     blocks = r.groupBy("dialogue_id", "block").agg(F.max_by("label", order).alias("__label"), *counts)

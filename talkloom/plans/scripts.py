@@ -21,8 +21,8 @@ def _turns(spark: SparkSession, folder: str) -> DataFrame:
     said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_idx", "word"))), lambda x: x["word"]), " ")
     t = speech.timeline(speech.turns(w.drop("block", "turn_no")))
     text = w.groupBy("dialogue_id", "turn_no", F.floor(F.col("word_idx") / 1000)).agg(said.alias("text"), F.min("word_idx").alias("i"))
-    text = text.withColumn("first", F.col("i")).groupBy("dialogue_id", "turn_no").agg(F.min_by("text", "first").alias("text"))
-    t = t.join(text, ["dialogue_id", "turn_no"])
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda x: x["text"]), " ")
+    t = t.join(text.groupBy("dialogue_id", "turn_no").agg(whole.alias("text")), ["dialogue_id", "turn_no"])
     who = F.when(F.col("speaker") == "A", "passenger").otherwise("crew")
     mood = F.get(F.array(*[F.lit(e) for e in ("neutral", "annoyed", "angry", "calm", "bored")]), F.col("first_idx") % 5)
     return checkpointed(t.select(

@@ -1,4 +1,7 @@
+from datetime import datetime
+
 from talkloom.operators import scripts
+from talkloom.plans import scripts as plans
 
 T = "script_id string, turn_no long, speaker string, text string, emotion string, intensity int, backchannel boolean, interrupts boolean, floor string"
 
@@ -47,3 +50,14 @@ def test_script_rows(spark):
     got = {r.id: r.turns for r in scripts.fixed_scripts(df).collect()}
     assert got["s"] == [] and (got["t"][0].text, got["t"][0].emotion) == ("seven", "angry")
     assert {r.id: len(r.times) for r in scripts.placed_scripts(df).collect()} == {"s": 0, "t": 1}
+
+
+def test_turn_across_blocks(spark, tmp_path):
+    who = lambda i: "A" if i < 990 else "B" if i < 3010 else "A"
+    rows = [("d", i, who(i), "7" if i == 2500 else f"w{chr(97 + i % 26)}", i * 0.3, i * 0.3 + 0.2, datetime(2025, 1, 1)) for i in range(3020)]
+    w = spark.createDataFrame(rows, "dialogue_id string, word_idx int, speaker string, word string, start double, end double, loaded_at timestamp")
+    w.write.parquet(str(tmp_path / "words.parquet"))
+    got = {r.turn_no: r.text.split(" ") for r in plans._turns(spark, str(tmp_path)).collect()}
+    assert got == {n: [r[3] for r in rows[a:b]] for n, (a, b) in enumerate([(0, 990), (990, 3010), (3010, 3020)])}
+    assert ("d", "digits in text", 1) in {tuple(r) for r in plans.pred_turn_errors(spark, str(tmp_path)).collect()}
+    assert {r.problem: r.n for r in plans.pred_clips(spark, str(tmp_path)).collect()}.get("too long") is None

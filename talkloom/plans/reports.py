@@ -140,7 +140,7 @@ def j12_what_if(spark: SparkSession, folder: str) -> DataFrame:
 
 def j10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """For every label and wanted value 0 to 9, the vector whose id's last digit is nearest (ties to the smaller digit, then id)."""
-    v = table(spark, folder, "embeddings").where("vec_id % 10 in (1, 4, 8)").groupBy("label", (F.col("vec_id") % 10).alias("digit")).agg(F.min("vec_id").alias("vec_id"))
+    v = table(spark, folder, "embeddings").groupBy("label", (F.col("vec_id") % 10).alias("digit")).agg(F.min("vec_id").alias("vec_id"))
     v = v.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("wanted"))
     return v.groupBy("label", "wanted").agg(F.min_by("vec_id", F.struct(F.abs(F.col("digit") - F.col("wanted")), F.col("digit"))).alias("vec_id"))
 

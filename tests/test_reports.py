@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from talkloom.operators import reports
+from talkloom.plans import reports as plans
 
 
 def test_order_stat(spark):
@@ -34,3 +35,12 @@ def test_quotas():
     assert sum(reports.quotas({"a": 97, "b": 1, "c": 1, "d": 1}, 10).values()) == 10
     assert reports.quotas({}, 5) == {} and reports.quotas({"a": 2}, 10) == {"a": 2}
     assert sum(reports.quotas({"a": 5, "b": 5, "c": 5}, 4).values()) == 4
+
+
+def test_nearest_of_all_vectors(spark, tmp_path):
+    dense = [(i, "x") for i in range(10, 40)]
+    sparse = [(102, "y"), (106, "y"), (206, "y"), (107, "y")]
+    spark.createDataFrame(dense + sparse, "vec_id long, label string").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {(r.label, r.wanted): r.vec_id for r in plans.j10_nearest(spark, str(tmp_path)).collect()}
+    assert [got["x", d] for d in range(10)] == list(range(10, 20))
+    assert [got["y", d] for d in range(10)] == [102] * 5 + [106, 106] + [107] * 3

@@ -81,6 +81,25 @@ def test_against_brute_force(spark, seed):
     assert [r.conversation_context.split("\n")[-1] for r in got] == [x[7].split("\n")[-1] for x in brute(rows, 700)]
 
 
+@pytest.mark.parametrize("swaps", [0, 30])
+def test_monologue_longer_than_halo(spark, swaps):
+    rng = random.Random(5)
+    rows, t = [], 0
+    for who, n in [("A", 3), ("B", 12), ("A", 260), ("B", 4), ("A", 2), ("B", 170), ("A", 5), ("B", 3), ("A", 150)]:
+        for _ in range(n):
+            e = rng.randrange(150, 500) + (1500 if rng.random() < 0.02 else 0)
+            rows.append((who, f"w{len(rows)}", t, t + e))
+            t += e
+    for _ in range(swaps):
+        i = rng.randrange(len(rows) - 4)
+        rows[i], rows[i + 3] = rows[i + 3], rows[i]
+    if swaps:
+        rows.insert(330, rows.pop(90))
+    got = run(spark, rows, step_ms=2000, predict=prediction.verbatim, chunk=40, halo=20)
+    have = [(r.timestamp_ms, r.total_word_count, r.trigger_word, r.recent_words, r.current_spoken_ratio, r.channel, r.hint, r.conversation_context) for r in got]
+    assert have == brute(rows, 2000)
+
+
 #: A folder with text/*.json and oracle_raw/*.json of the same dialogues, at five seconds between events.
 SAMPLE = Path(os.environ.get("DIALOGUE_PAIRS", "none"))
 

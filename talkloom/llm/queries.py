@@ -40,7 +40,8 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     w = splitting.speech_of(table(spark, folder, "words")).select("dialogue_id", "word_idx", F.col("start_ms").alias("at")).distinct()
     e = table(spark, folder, "oracle_raw").select("dialogue_id", "event_idx", F.col("timestamp_ms").alias("at")).distinct()
     n = [splitting.members(p, x, "at").groupBy("dialogue_id", "piece_no").agg(F.count(F.lit(1)).alias(c)) for x, c in ((w, "n_words"), (e, "n_events"))]
-    out = p.join(n[0], ["dialogue_id", "piece_no"], "left").join(n[1], ["dialogue_id", "piece_no"], "left")
+    keys = ["dialogue_id", "piece_no"]
+    out = splitting.joined(splitting.joined(p, n[0], keys, "left"), n[1], keys, "left")
     return out.select("dialogue_id", "piece_no", "from_ms", "to_ms", "end_kind", F.coalesce("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_events", F.lit(0)).alias("n_events"))
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.operators.blocks import Carry, carry, join_blocks
@@ -107,6 +109,13 @@ def inner_cuts(a: int, b: int, silences: list[tuple[int, int, bool]], most: int,
     return cuts
 
 
+def joined(rows: DataFrame, facts: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``rows`` joined with ``facts`` by ``keys``; null keys match null keys."""
+    right = facts.withColumnsRenamed({k: f"__k{j}" for j, k in enumerate(keys)})
+    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__k{j}")) for j, k in enumerate(keys)])
+    return rows.join(right, on, how).drop(*[f"__k{j}" for j in range(len(keys))])
+
+
 def _boundaries(rows: DataFrame, block_ms: int) -> DataFrame:
     """Adds ``next_ms`` to rows (dialogue_id, at_ms, ...): the at_ms of the next row of the dialogue, of whatever block."""
     rows = rows.withColumn("block", F.floor(F.col("at_ms") / block_ms))
@@ -141,7 +150,7 @@ def split(words: DataFrame, events: DataFrame, limit_ms: int = LIMIT_MS, overlap
     strong = strong_cuts(candidates, least_ms, block_ms).select("dialogue_id", F.col("mid_ms").alias("at_ms"), F.lit("natural").alias("kind"))
     # Strong cuts of short dialogues have no start marker: they drop out with the join on the few spans' blocks below.
     covered = span.where(long_).select("dialogue_id", "first_ms", "last_ms", F.explode(F.sequence(F.floor(F.col("first_ms") / block_ms), F.floor(F.col("last_ms") / block_ms))).alias("block"))
-    strong = strong.withColumn("block", F.floor(F.col("at_ms") / block_ms)).join(covered, ["dialogue_id", "block"]).where((F.col("at_ms") >= F.col("first_ms") + least_ms) & (F.col("at_ms") <= F.col("last_ms") - least_ms)).select("dialogue_id", "at_ms", "kind")
+    strong = join_blocks(strong.withColumn("block", F.floor(F.col("at_ms") / block_ms)), covered, ["dialogue_id"], "block").where((F.col("at_ms") >= F.col("first_ms") + least_ms) & (F.col("at_ms") <= F.col("last_ms") - least_ms)).select("dialogue_id", "at_ms", "kind")
     segments = _boundaries(ends.unionByName(strong), block_ms)
     segments = checkpointed(segments.where("next_ms is not null").select("dialogue_id", F.col("at_ms").alias("a"), F.col("next_ms").alias("b"), "kind"))
 
@@ -174,10 +183,10 @@ def split(words: DataFrame, events: DataFrame, limit_ms: int = LIMIT_MS, overlap
         (F.col("__before") + F.row_number().over(w) - 1).cast("bigint").alias("piece_no"),
     ).where("next_ms is not null")
 
-    info = span.join(_long_stretch(silences, span, limit_ms, block_ms), "dialogue_id", "left")
+    info = joined(span, _long_stretch(silences, span, limit_ms, block_ms), ["dialogue_id"], "left")
     first = F.col("piece_no") == 0
     early = F.least("first_ms", "first_event_ms")
-    cutted = parts.join(info, "dialogue_id").select(
+    cutted = joined(parts, info, ["dialogue_id"], "inner").select(
         "dialogue_id", "piece_no", F.when(first, F.col("at_ms")).otherwise(F.col("at_ms") - overlap_ms).alias("from_ms"), F.col("next_ms").alias("to_ms"), "end_kind",
         F.when(first, early).otherwise(F.col("at_ms") - overlap_ms).alias("member_from_ms"),
         F.when(F.col("end_kind") == "end", F.col("next_ms") + 1).otherwise(F.col("next_ms")).alias("member_to_ms"),

@@ -85,3 +85,9 @@ def test_inner_cuts():
 
 def test_empty(spark):
     assert sp.split(spark.createDataFrame([], WORDS), spark.createDataFrame([], EVENTS)).count() == 0
+
+
+def test_null_dialogue_is_cut_like_others(spark):
+    rows = talk("d", 500, random.Random(3))
+    got = pieces_of(spark, rows + [(None, *r[1:]) for r in rows])
+    assert len(got["d"]) > 1 and [r[1:] for r in got[None]] == [r[1:] for r in got["d"]]

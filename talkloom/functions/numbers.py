@@ -164,7 +164,7 @@ def _plain(s: Spot) -> Reading:
 READERS: list[Callable[[Spot], Reading | None]] = [_grouped, _clock, _money, _ordinal, _code, _decimal, _year, _plain]
 _SIGNS = "".join(CURRENCIES)
 #: A number with commas between groups of three digits, unless it is money, or a run of digits.
-_RUN = re.compile(rf"((?<![\w{_SIGNS}])(?<![{_SIGNS}]\s)[0-9]{{1,3}}(?:,[0-9]{{3}})+(?!\w)|[0-9]+)")
+_RUN = re.compile(rf"((?<![\w{_SIGNS}])(?<![{_SIGNS}]\s)(?<![0-9][.,:])[0-9]{{1,3}}(?:,[0-9]{{3}})+(?!\w)|[0-9]+)")
 _PERCENT = re.compile(r"\s?%")
 _SEAT = re.compile(r"(?<=[a-z])(?=[A-Z]\b)")
 

@@ -16,8 +16,8 @@ def to_ms(seconds: Column) -> Column:
     return F.round(seconds * 1000).cast("bigint")
 
 
-#: Times beyond this many seconds, infinite ones too, are taken for missing.
-FAR_S = 1e11
+#: Seconds from here on have no place in whole milliseconds of 64 bits with room to reckon; only such times, infinite ones too, are taken for missing.
+FAR_S = 2.0**52
 
 
 def usable(start: Column, end: Column) -> Column:

@@ -53,19 +53,30 @@ def medoids(vectors: DataFrame, key: str, id_col: str, vector: str) -> DataFrame
     return s.groupBy(key).agg(best.alias("b")).select(key, F.col(f"b.{id_col}").alias(id_col), F.col(f"b.{vector}").alias(vector))
 
 
-def quotas(sizes: dict[str, int], n: int) -> dict[str, int]:
-    """Shares of ``n`` for groups by size: at least one each, rounded half to even, then fitted to the sum."""
-    total = sum(sizes.values())
-    if not total:
-        return {}
-    q = {g: max(1, round(n * s / total)) for g, s in sizes.items()}
-    want = min(n, total)
-    while sum(q.values()) != want:
-        if sum(q.values()) > want:
-            g = max(q, key=lambda x: q[x])
-            if q[g] <= 1 and sum(q.values()) <= len(q):
-                break
-            q[g] -= 1
-        else:
-            q[max(q, key=lambda x: sizes[x] - q[x])] += 1
-    return q
+def quotas(sizes: DataFrame, key: str, n: int) -> DataFrame:
+    """(key, quota): shares of ``n`` for groups (key, size): at least one each, rounded half to even, then fitted to the sum.
+
+    What is too much is taken one by one from the largest quota, what is missing goes one by one to the group with
+    most rows that aren't picked (ties to the first key). That is levelling: the largest quotas, or the largest
+    rests, are brought down to a common height, found from sums over the groups in falling order. Quotas
+    never fall below one, so more groups than ``n`` keep one each. Groups of size null or 0 have none.
+    """
+    s = sizes.where(F.col("size") > 0)
+    every = Window.partitionBy(F.lit(0))  # one row per group
+    total, groups = F.sum("size").over(every), F.count(F.lit(1)).over(every)
+    s = s.select(key, "size", F.greatest(F.lit(1), F.bround(F.lit(n) * F.col("size") / total).cast("bigint")).alias("q"), F.greatest(F.least(F.lit(n), total), groups).alias("want"))
+    s = s.withColumn("off", F.col("want") - F.sum("q").over(every))  # above 0: to be added, below 0: to be taken
+    s = s.withColumn("height", F.when(F.col("off") < 0, F.col("q")).otherwise(F.col("size") - F.col("q")))
+    falling = Window.partitionBy(F.lit(0)).orderBy(F.col("height").desc(), key).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumns({"k": F.row_number().over(falling), "upto": F.sum("height").over(falling)})
+    # With the k highest groups levelled, the common height is (their sum less what goes) / k; k is the last whose height is above it.
+    level = (F.col("upto") - F.abs("off")) / F.col("k")
+    s = s.withColumn("in_", F.col("height") > level)
+    s = s.withColumns({"m": F.count_if("in_").over(every), "sum_m": F.sum(F.when(F.col("in_"), F.col("height"))).over(every)})
+    low = F.floor((F.col("sum_m") - F.abs("off")) / F.greatest(F.col("m"), F.lit(1)))
+    s = s.withColumn("left_", F.when(F.col("in_"), F.col("height") - low).otherwise(0))
+    # The last round isn't whole: of the levelled groups, those last in order keep one more.
+    spare = F.sum("left_").over(every) - F.abs("off")
+    last = F.row_number().over(Window.partitionBy(F.lit(0), "in_").orderBy(F.desc(key)))
+    goes = F.col("left_") - F.when(F.col("in_") & (last <= spare), 1).otherwise(0)
+    return s.select(key, (F.col("q") + F.when(F.col("off") < 0, -goes).otherwise(goes)).cast("bigint").alias("quota"))

@@ -60,7 +60,12 @@ def crosstalk(n_switches: Column, n_words: Column, both: Column, union: Column)
 
 def turns(w: DataFrame) -> DataFrame:
     """Runs of one speaker in list order: (dialogue_id, turn_no, speaker, first_idx, n_words, start_ms, end_ms)."""
-    t = in_turns(w).groupBy("dialogue_id", "turn_no", "speaker", "block").agg(F.min("word_idx").alias("i"), F.count(F.lit(1)).alias("n"), F.min("start_ms").alias("s"), F.max("end_ms").alias("e"))
+    return turns_of(in_turns(w))
+
+
+def turns_of(numbered_words: DataFrame) -> DataFrame:
+    """``turns`` of words that have the number of their turn already."""
+    t = numbered_words.groupBy("dialogue_id", "turn_no", "speaker", "block").agg(F.min("word_idx").alias("i"), F.count(F.lit(1)).alias("n"), F.min("start_ms").alias("s"), F.max("end_ms").alias("e"))
     return t.groupBy("dialogue_id", "turn_no", "speaker").agg(F.min("i").alias("first_idx"), F.sum("n").alias("n_words"), F.min("s").alias("start_ms"), F.max("e").alias("end_ms"))
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from talkloom.functions import arrays
 from talkloom.operators import reports
-from talkloom.operators.blocks import numbered
 from talkloom.plans.text import EVENTS_SQL, _events
+from talkloom.sources import files
 from talkloom.sources.tables import table
 
 #: What-if grid: least similarity, largest spread, largest drop (in thousandths).
@@ -203,12 +203,9 @@ def _hash(c: str) -> Column:
 
 
 def k5_quota(spark: SparkSession, folder: str) -> DataFrame:
-    """Quotas of a hold-out of 20 dialogues by category (a category is one of few; more than 10,000 are an error)."""
-    rows = _dialogues(spark, folder).groupBy(F.coalesce("category", F.lit("?")).alias("category")).count().orderBy("category").limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("too many categories")
-    q = reports.quotas({r["category"]: r["count"] for r in rows}, 20)
-    return spark.createDataFrame(sorted(q.items()) or [], "category string, quota int")
+    """Quotas of a hold-out of 20 dialogues by category."""
+    sizes = _dialogues(spark, folder).groupBy(F.coalesce("category", F.lit("?")).alias("category")).agg(F.count(F.lit(1)).alias("size"))
+    return reports.quotas(sizes, "category", 20)
 
 
 def k6_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,9 +228,7 @@ def k7_choice(spark: SparkSession, folder: str) -> DataFrame:
 
 def io10_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Shard of each dialogue: sorted ids, 100 to a shard."""
-    d = table(spark, folder, "dialogues").select("dialogue_id").withColumn("block", F.conv(F.hex(F.rpad(F.substring("dialogue_id", 1, 7), 7, " ")), 16, 10).cast("bigint"))
-    n = numbered(d, [], "block", ["dialogue_id"], "rn")
-    return n.select("dialogue_id", F.floor((F.col("rn") - 1) / 100).alias("shard"))
+    return files.sharded(table(spark, folder, "dialogues").select("dialogue_id"), per_file=100)
 
 
 def ev_breakdown(spark: SparkSession, folder: str) -> DataFrame:
@@ -286,7 +281,7 @@ SELECT label, count(*) FILTER (WHERE least >= 780 AND spread <= 120) AS strict,
     "j5_tiers": "WITH d AS (SELECT unnest([passenger_voice_id, crew_voice_id]) AS voice_id FROM dialogues) SELECT coalesce(tier, '?') AS tier, coalesce(voice_role, '?') AS role, count(*) AS n FROM d LEFT JOIN voices USING (voice_id) GROUP BY ALL",
     "j6_map_lookup": f"""WITH {EVENTS_SQL}, p AS (SELECT DISTINCT dialogue_id, CAST(event_idx // 64 AS BIGINT) AS part FROM e WHERE channel IS NOT NULL), k AS (SELECT *, CAST(unnest(range(0, 61, 10)) AS INT) AS k FROM p)
 SELECT k.dialogue_id, part, k, channel FROM k LEFT JOIN e ON e.dialogue_id = k.dialogue_id AND e.event_idx = part * 64 + k AND channel IS NOT NULL""",
-    "j10_nearest": """WITH v AS (SELECT label, vec_id % 10 AS digit, min(vec_id) AS vec_id FROM embeddings WHERE vec_id % 10 IN (1, 4, 8) GROUP BY ALL), w AS (SELECT *, CAST(unnest(range(0, 10)) AS INT) AS wanted FROM v)
+    "j10_nearest": """WITH v AS (SELECT label, vec_id % 10 AS digit, min(vec_id) AS vec_id FROM embeddings GROUP BY ALL), w AS (SELECT *, CAST(unnest(range(0, 10)) AS INT) AS wanted FROM v)
 SELECT label, wanted, arg_min(vec_id, (abs(digit - wanted), digit)) AS vec_id FROM w GROUP BY ALL""",
     "j12_what_if": f"WITH {_MET} " + " UNION ALL ".join(f"SELECT {i} AS grid_row, count(*) FILTER (WHERE least >= {a} AND spread <= {b} AND drop <= {c}) AS n_passed, count(*) AS n FROM mt" for i, (a, b, c) in enumerate(GRID)),
     "j13_medoids": f"WITH {_SIMS} SELECT * FROM md",

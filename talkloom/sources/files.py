@@ -6,12 +6,12 @@ import struct
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkloom import schemas
-from talkloom.operators.blocks import numbered
+from talkloom.session import checkpointed
 
 
 def _id(suffix: str) -> Column:
@@ -105,11 +105,27 @@ def wav_durations(spark: SparkSession, folder: str) -> DataFrame:
     return f.select(F.regexp_extract("path", r"([^/]*)[.]wav$", 1).alias("id"), seconds("content").alias("seconds"))
 
 
+def sharded(df: DataFrame, key: str = "dialogue_id", per_file: int = 100_000, tasks: int | None = None) -> DataFrame:
+    """``df`` with ``shard``: rows in the order of ``key`` (nulls first, then of the whole row), ``per_file`` to a shard.
+
+    Rows are dealt to ranges of the key with sampled bounds, each range is sorted and counted, and the counts
+    of the ranges before it are added; no task sees more than its range. The ranges are written once, so that
+    numbers and counts come of the same split.
+    """
+    rest = [c for c in df.columns if c != key]
+    order = [F.col(key).asc_nulls_first(), F.xxhash64(*[F.col(c) for c in rest]) if rest else F.lit(0)]
+    ranged = df.repartitionByRange(tasks, *order) if tasks else df.repartitionByRange(*order)
+    ranged = checkpointed(ranged.withColumn("__range", F.spark_partition_id()))
+    counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    # One row per task: as many as there are partitions, whatever the number of rows.
+    before = counts.select(F.col("__range").alias("__r"), (F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1 + F.coalesce("__before", F.lit(0))
+    return ranged.join(before, F.col("__range") == F.col("__r")).withColumn("shard", F.floor(place / per_file)).drop("__range", "__r", "__before")
+
+
 def write_shards(df: DataFrame, path: str, key: str = "dialogue_id", per_file: int = 100_000) -> None:
     """Parquet in shards of ``per_file`` rows in the order of the key, a folder shard=N each. A failed write leaves nothing readable behind."""
-    block = F.conv(F.hex(F.rpad(F.substring(key, 1, 7), 7, " ")), 16, 10).cast("bigint")
-    n = numbered(df.withColumn("__block", block), [], "__block", [key], "__rn")
-    n = n.withColumn("shard", F.floor((F.col("__rn") - 1) / per_file)).drop("__block", "__rn")
+    n = sharded(df, key, per_file)
     n.repartition("shard").sortWithinPartitions("shard", key).write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
@@ -123,6 +139,24 @@ def read_shards(spark: SparkSession, paths: Sequence[str], changes: Sequence[Cal
     return out
 
 
+def valid_packed(packed: DataFrame, speakers: Sequence[str] = ("A", "B")) -> DataFrame:
+    """``packed`` rows with ``valid``: all lists of each speaker are there, as long as each other, and offsets begin at 0, never fall and end with the values.
+
+    A job that is started again counts only valid rows as done.
+    """
+    require(packed, [f"{s}_oracle_{c}" for s in speakers for c in schemas.PACKED])
+    ok = F.lit(True)
+    for s in speakers:
+        c = lambda name: F.col(f"{s}_oracle_{name}")  # noqa: B023, E731
+        n = F.size(c("event_frame_pos"))
+        ok = ok & (F.size(c("event_ratio")) == n) & (F.size(c("event_skip_forbid")) == n)
+        for kind in ("pred", "hint"):
+            o = c(f"{kind}_offsets")
+            rises = F.forall(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: (i > n) | (F.get(o, i) >= F.get(o, i - 1)))  # noqa: B023
+            ok = ok & (F.size(o) == n + 1) & (F.get(o, F.lit(0)) == 0) & (F.element_at(o, -1) == F.size(c(f"{kind}_values"))) & rises
+    return packed.withColumn("valid", F.coalesce(ok, F.lit(False)))
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The table, if it has the columns; else an error when the plan is made."""
     missing = [c for c in columns if c not in df.columns]

@@ -30,11 +30,26 @@ def test_breakdown_and_medoids(spark):
     assert {r.k: r.id for r in reports.medoids(v, "k", "id", "e").collect()} == {"k": 2, "z": 5}
 
 
-def test_quotas():
-    assert reports.quotas({"a": 50, "b": 30, "c": 20}, 10) == {"a": 5, "b": 3, "c": 2}
-    assert sum(reports.quotas({"a": 97, "b": 1, "c": 1, "d": 1}, 10).values()) == 10
-    assert reports.quotas({}, 5) == {} and reports.quotas({"a": 2}, 10) == {"a": 2}
-    assert sum(reports.quotas({"a": 5, "b": 5, "c": 5}, 4).values()) == 4
+def one_by_one(sizes, n):
+    total = sum(sizes.values())
+    q = {g: max(1, round(n * s / total)) for g, s in sizes.items()}
+    want = max(min(n, total), len(sizes))
+    while sum(q.values()) != want:
+        if sum(q.values()) > want:
+            q[max(sorted(q), key=lambda x: q[x])] -= 1
+        else:
+            q[max(sorted(q), key=lambda x: sizes[x] - q[x])] += 1
+    return q
+
+
+def test_quotas(spark):
+    rng = random.Random(4)
+    cases = [({"a": 50, "b": 30, "c": 20}, 10), ({"a": 97, "b": 1, "c": 1, "d": 1}, 10), ({"a": 2}, 10), ({"a": 5, "b": 5, "c": 5}, 4), ({x: 1 for x in "abcdef"}, 3)]
+    cases += [({x: rng.randrange(1, 30) for x in "abcdefgh"[: rng.randrange(1, 8)]}, rng.randrange(1, 60)) for _ in range(8)]
+    for sizes, n in cases:
+        df = spark.createDataFrame(list(sizes.items()), "g string, size long")
+        assert {r.g: r.quota for r in reports.quotas(df, "g", n).collect()} == one_by_one(sizes, n), (sizes, n)
+    assert reports.quotas(spark.createDataFrame([], "g string, size long"), "g", 5).count() == 0
 
 
 def test_nearest_of_all_vectors(spark, tmp_path):

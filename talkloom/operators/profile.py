@@ -78,18 +78,39 @@ def value_counts(df: DataFrame, load: str, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+#: Numbers are summed as whole multiples of this share of their range.
+STEPS = 1 << 40
+
+
 def profile(df: DataFrame, load: str, rules: Sequence[Rule]) -> DataFrame:
     """Exact profile per load and column.
 
     Columns: n_rows, n_null, n_empty, n_nan, n_distinct (null aside), n_distinct_filled (null and empty aside),
     min_value and max_value (of texts the length; NaN aside), n_bad (pattern violations), the power sums
-    sum_1 and sum_2 as decimals (mergeable and independent of order; null where they don't fit), mean,
-    stddev, and n_class_1 to n_class_5. A null load is a load of its own; an empty table has no rows.
+    sum_1 and sum_2, mean, stddev (of all values, not of a sample), and n_class_1 to n_class_5. A null load is a
+    load of its own; an empty table has no rows.
+
+    The power sums are taken about the middle of the column's range in the load and in units of its width (a
+    power of two, so that the scaling itself loses nothing): numbers of any size, large or small, far from zero
+    or near it, become numbers of at most one half. These are rounded to multiples of 2^-40 and summed as whole
+    numbers in decimals of 38 digits, so that the sums don't depend on the order of the rows and can be
+    merged; what the rounding loses is at most 2^-41 of the width per value, and no value is left out. With an infinite
+    value the sums, mean and stddev are null, never a value from which rows are missing.
     """
     v = value_counts(df, load, rules)
+    edges = v.groupBy("load_id", "column_name").agg(F.min("x").alias("__lo"), F.max("x").alias("__hi"))
+    v = v.join(
+        edges.withColumnsRenamed({"load_id": "__load", "column_name": "__col"}),
+        F.col("load_id").eqNullSafe(F.col("__load")) & (F.col("column_name") == F.col("__col")), "left",
+    )
     filled = ~F.col("is_null")
-    d = F.expr("try_cast(x as decimal(18,6))")
-    n = F.col("n").cast("decimal(12,0)")
+    finite = (F.abs("__lo") < float("inf")) & (F.abs("__hi") < float("inf"))
+    # Middle and width of the range; halves first, so that nothing overflows.
+    mid = F.when(finite, F.col("__lo") / 2 + F.col("__hi") / 2)
+    half = F.greatest(F.col("__hi") / 2 - F.col("__lo") / 2, F.lit(2.0**-1000))
+    unit = F.pow(F.lit(2.0), F.ceil(F.log2(half)) - 1)  # a quarter of the width that everything fits in
+    u = F.round((F.col("x") / 4 - mid / 4) / unit * float(STEPS)).cast("decimal(13,0)")
+    n = F.col("n").cast("decimal(11,0)")
     if_ = lambda cond, val=F.col("n"): F.coalesce(F.sum(F.when(cond, val)), F.lit(0)).cast("bigint")
     one = F.lit(1)
     out = v.groupBy("load_id", "column_name").agg(
@@ -103,22 +124,30 @@ def profile(df: DataFrame, load: str, rules: Sequence[Rule]) -> DataFrame:
         F.max("x").alias("max_value"),
         if_(F.col("bad")).alias("n_bad"),
         F.coalesce(F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("n_numbers"),
-        F.try_sum((d * n).cast("decimal(38,6)")).alias("sum_1"),
-        F.try_sum(F.expr("try_cast(cast(try_cast(x as decimal(18,6)) * try_cast(x as decimal(18,6)) as decimal(36,12)) * cast(n as decimal(12,0)) as decimal(38,12))")).alias("sum_2"),
+        F.first(mid, True).alias("__mid"), F.first(F.when(finite, unit), True).alias("__unit"),
+        F.sum((u * n).cast("decimal(38,0)")).alias("__p1"),
+        F.sum((u * u * n).cast("decimal(38,0)")).alias("__p2"),
         *[if_(filled & (F.col("cls") == i)).alias(f"n_class_{i}") for i in range(1, CLASSES + 2)],
-    )
-    k = F.col("n_numbers").cast("double")
-    mean = F.when(k > 0, F.col("sum_1").cast("double") / k)
-    var = F.when(k > 0, F.greatest(F.col("sum_2").cast("double") / k - mean * mean, F.lit(0.0)))
-    return out.withColumns({"mean": mean, "stddev": F.sqrt(var)})
+    )
+    k = F.when(F.col("n_numbers") > 0, F.col("n_numbers").cast("double"))
+    m1 = F.col("__p1").cast("double") / k / float(STEPS)
+    m2 = F.col("__p2").cast("double") / k / float(STEPS) / float(STEPS)
+    mean = F.col("__mid") + F.col("__unit") * (4 * m1)
+    dev = F.col("__unit") * (4 * F.sqrt(F.greatest(m2 - m1 * m1, F.lit(0.0))))
+    out = out.withColumns({"mean": mean, "stddev": F.when(F.col("min_value") == F.col("max_value"), 0.0 * m1).otherwise(dev)})
+    sum_2 = k * (F.col("mean") * F.col("mean") + F.col("stddev") * F.col("stddev"))
+    return out.withColumns({"sum_1": k * F.col("mean"), "sum_2": sum_2}).drop("__mid", "__unit", "__p1", "__p2")
 
 
 def changes(prof: DataFrame, baseline: DataFrame) -> DataFrame:
     """The profile with shares, the change against the baseline, and that against the load before.
 
     change_baseline and change_previous are half the sum of absolute differences between the shares of the
-    value classes; shift_previous is the difference of the means over the pooled standard deviation. They are
-    null where one side is missing (no baseline, no value, first load).
+    value classes. shift_previous is the standardised difference of the numbers, that of the means over the pooled
+    standard deviation. moved_baseline and moved_previous are the largest standardised difference of a value
+    class, whose members count 1 and all others 0 (so its share is its mean, and its two power sums are its
+    count); infinite if all were inside before and none is now, or the reverse. They are null where one side is
+    missing (no baseline, no value, first load).
     """
     base = baseline.select(
         F.col("column_name").alias("__c"),
@@ -133,29 +162,46 @@ def changes(prof: DataFrame, baseline: DataFrame) -> DataFrame:
         | {f"share_{i}": F.when(full > 0, F.col(f"n_class_{i}") / full) for i in range(1, CLASSES + 2)}
     )
     w = Window.partitionBy("column_name").orderBy("load_id")
-    diff, prev = F.lit(0.0), F.lit(0.0)
+    diff, prev, moved, moved_prev = F.lit(0.0), F.lit(0.0), [], []
     for i in range(1, CLASSES + 2):
         b = F.coalesce(F.nanvl(F.col(f"base_{i}"), F.lit(0.0)), F.lit(0.0)) if i <= CLASSES else F.lit(0.0)
-        diff = diff + F.abs(F.col(f"share_{i}") - b)
-        prev = prev + F.abs(F.col(f"share_{i}") - F.lag(f"share_{i}").over(w))
+        own, was = F.col(f"share_{i}"), F.lag(f"share_{i}").over(w)
+        diff, prev = diff + F.abs(own - b), prev + F.abs(own - was)
+        moved.append(_standardised(own, b))
+        moved_prev.append(_standardised(own, was))
     pooled = F.sqrt((F.col("stddev") ** 2 + F.lag("stddev").over(w) ** 2) / 2)
+    known = F.col("base_null_share").isNotNull()
     return p.withColumns(
         {
-            "change_baseline": F.when(F.col("base_null_share").isNotNull(), diff / 2),
+            "change_baseline": F.when(known, diff / 2),
             "change_previous": prev / 2,
             "shift_previous": F.when(pooled > 0, (F.col("mean") - F.lag("mean").over(w)) / pooled),
+            "moved_baseline": F.when(known & F.col("share_1").isNotNull(), F.greatest(*moved)),
+            "moved_previous": F.when(F.col("share_1").isNotNull() & F.lag("share_1").over(w).isNotNull(), F.greatest(*moved_prev)),
         }
     )
 
 
+def _standardised(p: Column, q: Column) -> Column:
+    """Difference of two shares over their pooled standard deviation."""
+    pooled = F.sqrt((p * (1 - p) + q * (1 - q)) / 2)
+    return F.when(p == q, 0.0).when(pooled > 0, F.abs(p - q) / pooled).otherwise(F.lit(float("inf")))
+
+
 def issues(changed: DataFrame, null_margin: float = 0.05, change_limit: float = 0.25, distinct_factor: float = 3.0) -> DataFrame:
-    """One row (load_id, column_name, issue) per finding: nulls, range, pattern, distribution or distinct."""
+    """One row (load_id, column_name, issue) per finding: nulls, range, pattern, distribution or distinct.
+
+    A distribution that may have changed is found by its standardised difference: shares that differ by more than
+    ``change_limit`` in all differ by more than 2 / (CLASSES + 1) of it in some class, whose deviation is a half at
+    most, so that no change is missed. Whether it has is then decided by the shares.
+    """
+    least = change_limit * 2 / (CLASSES + 1) / 0.5 * 0.999
     num = lambda c: F.when(~F.isnan(c), F.col(c))  # noqa: E731  a baseline without a value may hold NaN
     found = F.array(
         F.when(F.col("null_share") > F.col("base_null_share") + null_margin, "nulls"),
         F.when((num("base_min_value").isNotNull() | num("base_max_value").isNotNull()) & ((F.col("min_value") < num("base_min_value")) | (F.col("max_value") > num("base_max_value")) | (F.col("n_nan") > 0)), "range"),
         F.when(F.col("n_bad") > 0, "pattern"),
-        F.when(F.col("change_baseline") > change_limit, "distribution"),
+        F.when((F.col("moved_baseline") >= least) & (F.col("change_baseline") > change_limit), "distribution"),
         F.when(F.col("distinct_share") < num("base_distinct_share") / distinct_factor, "distinct"),
     )
     return changed.select("load_id", "column_name", F.explode(F.array_compact(found)).alias("issue"))

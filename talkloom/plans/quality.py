@@ -35,12 +35,23 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Exact profile per load of every column of the events."""
+    """Exact profile per load of every column of the events, with the changes against the baseline and the load before.
+
+    Means and deviations of times are in seconds.
+    """
     o = table(spark, folder, "oracle_raw")
     known = {r.name: r for r in profile.event_rules()}
     rules = [known.get(c, profile.Rule(c)) for c in o.columns if c != "load_id"]
-    p = profile.profile(o, "load_id", rules)
-    return p.select("load_id", "column_name", "n_rows", "n_null", "n_empty", "n_nan", "n_distinct", "n_bad", "min_value", "max_value", F.round("mean", 6).alias("mean_value"))
+    p = profile.changes(profile.profile(o, "load_id", rules), table(spark, folder, "column_baseline"))
+    unit = F.when(F.col("column_name") == "loaded_at", 1e6).otherwise(1.0)
+    digits = F.when(F.col("column_name") == "loaded_at", 0).otherwise(1)
+    part = lambda c, n: F.round(F.col(c) / unit, n)
+    coarse = lambda c: F.when(digits == 0, part(c, 0)).otherwise(part(c, 3))
+    return p.select(
+        "load_id", "column_name", "n_rows", "n_null", "n_empty", "n_nan", "n_distinct", "n_bad", "min_value", "max_value", coarse("mean").alias("mean_value"), F.when(digits == 1, part("stddev", 2)).alias("stddev"),
+        F.when(F.col("column_name").isin(*known), F.round("change_baseline", 6)).alias("change_baseline"), F.when(F.col("column_name").isin(*known), F.round("change_previous", 6)).alias("change_previous"),
+        F.when(F.col("column_name").isin("total_word_count", "channel"), F.round("shift_previous", 6)).alias("shift_previous"),
+    )
 
 
 QUERIES = {"p1_found": p1_found, "p1_periods": p1_periods, "p4_found": p4_found, "p4_profile": p4_profile}
@@ -61,6 +72,13 @@ _PROFILE_COLUMNS = {
 _HINT_BAD = "NOT regexp_full_match(hint, '[\\p{Ll}\\p{Nd}''’-]+( [\\p{Ll}\\p{Nd}''’-]+)*')"
 
 
+_CLASS_SQL = {
+    "current_spoken_ratio": ["current_spoken_ratio >= 0 AND current_spoken_ratio <= 0.25", "current_spoken_ratio > 0.25 AND current_spoken_ratio <= 0.5", "current_spoken_ratio > 0.5 AND current_spoken_ratio <= 0.75", "current_spoken_ratio > 0.75 AND current_spoken_ratio <= 1"],
+    "channel": ["channel = 0", "channel = 1"],
+    "hint": ["hint = ''", "hint <> '' AND len(string_split(hint, ' ')) <= 5", "hint <> '' AND len(string_split(hint, ' ')) > 5"],
+}
+
+
 def _profile_sql() -> str:
     parts = []
     for c, kind in _PROFILE_COLUMNS.items():
@@ -68,13 +86,24 @@ def _profile_sql() -> str:
         nan = f"isnan(CAST({c} AS DOUBLE))" if kind == "n" else "false"
         empty = f"{c} = ''" if kind == "t" else "false"
         bad = f"{c} <> '' AND {_HINT_BAD}" if c == "hint" else "false"
-        mean = f"round(CAST(sum(CAST({x} AS DECIMAL(18,6))) AS DOUBLE) / count({x}), 6)" if kind != "at" else "NULL"
+        mean = f"round(CAST(sum(CAST({x} AS DECIMAL(38,6))) AS DOUBLE) / count({x}), 3)" if kind != "at" else f"round(CAST(sum(epoch_us({c})) AS DOUBLE) / count({c}) / 1e6)"
+        dev = f"round(stddev_pop({x}), 2)" if kind != "at" else "NULL"
+        shares = [f"count(*) FILTER (WHERE {w}) / nullif(count({c}), 0)" for w in _CLASS_SQL[c]] if c in _CLASS_SQL else ["NULL"]
+        shares = [f"CAST({w} AS DOUBLE)" for w in (shares + ["0"] * 4)[:4]] if c in _CLASS_SQL else ["NULL"] * 4
+        moved = f"avg({x}) AS m_, var_pop({x}) AS v_" if c in ("total_word_count", "channel") else "NULL AS m_, NULL AS v_"
         parts.append(
             f"SELECT load_id, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(*) FILTER (WHERE {empty}) AS n_empty, "
             f"count(*) FILTER (WHERE {nan}) AS n_nan, count(DISTINCT {c}) AS n_distinct, count(*) FILTER (WHERE {bad}) AS n_bad, "
-            f"min({x}) AS min_value, max({x}) AS max_value, {mean} AS mean_value FROM oracle_raw GROUP BY load_id"
+            f"min({x}) AS min_value, max({x}) AS max_value, {mean} AS mean_value, {dev} AS stddev, {', '.join(f'{w} AS s{i}' for i, w in enumerate(shares, 1))}, {moved} FROM oracle_raw GROUP BY load_id"
         )
-    return " UNION ALL ".join(parts)
+    rest = lambda t: f"(1 - {t}s1 - {t}s2 - {t}s3 - {t}s4)"
+    base = " + ".join(f"abs(r.s{i} - coalesce(share_{i}, 0))" for i in range(1, 5))
+    prev = " + ".join(f"abs(r.s{i} - p.s{i})" for i in range(1, 5))
+    return f"""WITH r AS ({" UNION ALL ".join(parts)}), o AS (SELECT *, lag(load_id) OVER (PARTITION BY column_name ORDER BY load_id) AS before FROM r)
+SELECT r.load_id, r.column_name, r.n_rows, r.n_null, r.n_empty, r.n_nan, r.n_distinct, r.n_bad, r.min_value, r.max_value, r.mean_value, r.stddev,
+  CASE WHEN b.column_name IS NOT NULL THEN round(({base} + {rest("r.")}) / 2, 6) END AS change_baseline, round(({prev} + abs({rest("r.")} - {rest("p.")})) / 2, 6) AS change_previous,
+  CASE WHEN (r.v_ + p.v_) > 0 THEN round((r.m_ - p.m_) / sqrt((r.v_ + p.v_) / 2), 6) END AS shift_previous
+FROM o r LEFT JOIN r p ON p.column_name = r.column_name AND p.load_id = r.before LEFT JOIN column_baseline b ON b.column_name = r.column_name"""
 
 
 SQL = {

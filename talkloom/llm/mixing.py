@@ -95,17 +95,22 @@ def budgets(docs: DataFrame, targets: DataFrame, source: str, tokens: str) -> tu
 
 
 def report(per: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per target source: budget, what the plan uses, the share of the corpus size reached, and whether it falls short."""
+    """Per target source: budget, what the plan uses, the share of the corpus size reached, and whether it falls short.
+
+    ``exhausted``: the plan uses every text of the source as often as it may be (so nothing is left that could be added).
+    ``short``: even that many tokens are less than the target share asks for.
+    """
     used = plan.groupBy("source").agg(
         F.sum(F.col("n_tokens") * (F.col("passes") * F.col("n_docs") + F.col("extra"))).alias("used_tokens"),
         F.sum(F.col("passes") * F.col("n_docs") + F.col("extra")).alias("used_docs"),
     )
     u = F.coalesce("used_tokens", F.lit(0))
+    most = F.col("max_repeats") * F.col("source_tokens")
     return per.join(used, "source", "left").select(
         "source", "target_share", "max_repeats", "source_docs", "source_tokens", "corpus_tokens", "budget",
         u.alias("used_tokens"), F.coalesce("used_docs", F.lit(0)).alias("used_docs"),
         F.when(F.col("corpus_tokens") > 0, u / F.col("corpus_tokens")).alias("share_reached"),
-        (F.col("max_repeats") * F.col("source_tokens") < F.col("target_share") * F.col("corpus_tokens")).alias("short"),
+        (u == most).alias("exhausted"), (most < F.col("target_share") * F.col("corpus_tokens")).alias("short"),
     )
 
 

@@ -29,9 +29,9 @@ def _pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Dialogues that had to be cut, and whether a stretch of speech leaves no silence to cut in."""
-    kind = F.when(F.col("long_stretch"), "forced").otherwise("natural")
-    return _pieces(spark, folder).where("piece_no = 1").select("dialogue_id", kind.alias("cut_kind"))
+    """Dialogues that had to be cut, and whether a stretch of speech leaves no silence to cut in, by the cuts made."""
+    _, found = splitting.cuts(table(spark, folder, "words"), table(spark, folder, "oracle_raw"))
+    return splitting.cut_kinds(found)
 
 
 def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,8 +94,8 @@ def p7_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Sources that can't reach their share, even if each text is used as often as it may be."""
-    return p7_report(spark, folder).where("short").select("source")
+    """Sources that the fitted plan leaves below their budget although it uses each text as often as it may be; the shares decide exactly."""
+    return p7_report(spark, folder).where("exhausted and short").select("source")
 
 
 def p7_uses(spark: SparkSession, folder: str) -> DataFrame:

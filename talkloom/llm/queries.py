@@ -46,8 +46,7 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _spoken(spark: SparkSession, folder: str) -> DataFrame:
-    aliases = turns.alias_map(table(spark, folder, "speaker_aliases"))
-    return turns.spoken_words(table(spark, folder, "raw_words"), aliases, table(spark, folder, "dialogues"))
+    return turns.spoken_words(table(spark, folder, "raw_words"), table(spark, folder, "speaker_aliases"), table(spark, folder, "dialogues"))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,7 +56,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_turns(spark: SparkSession, folder: str) -> DataFrame:
     """Every turn in order, with time and words."""
-    return turns.texts(_spoken(spark, folder))
+    return turns.turns(_spoken(spark, folder), texts=True)
 
 
 def p6_items(spark: SparkSession, folder: str) -> DataFrame:

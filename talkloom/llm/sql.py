@@ -28,14 +28,15 @@ def _label(x: str) -> str:
     return f"CASE WHEN regexp_matches({key}, '^(?:a|0+)$') THEN 'A' WHEN regexp_matches({key}, '^(?:b|0*1)$') THEN 'B' ELSE (SELECT max(s.speaker) FROM speaker_aliases s WHERE lower(s.alias) = {plain}) END"
 
 
-def _p5() -> str:
+def _p5(texts: bool = False) -> str:
     bare = f"regexp_replace(regexp_replace(w, '{turns.NOTE}', '', 'g'), '{turns.NOTE}', '', 'g')"
     hums = " ".join(f"WHEN lang = '{g}' THEN regexp_matches(core, '{turns.hum_pattern(u)}')" for g, u in turns.HUM_UNITS.items())
     told = ", ".join(f"count(*) FILTER (WHERE core IN ({', '.join(repr(x) for x in ws)})) AS f_{g}" for g, ws in turns.FREQUENT.items())
+    more = ", CAST(k - 1 AS BIGINT) AS turn_no, min(st) AS start, max(en) AS \"end\", string_agg(text, ' ' ORDER BY st, word_idx) AS text"
     return f"""
 WITH r AS (
   SELECT *, coalesce(word, '') AS w FROM (
-    SELECT dialogue_id, word_idx, CASE WHEN NOT isnan("start") THEN "start" END AS st, speaker AS label_text, word FROM raw_words
+    SELECT dialogue_id, word_idx, CASE WHEN NOT isnan("start") THEN "start" END AS st, CASE WHEN NOT isnan("end") THEN "end" END AS en, speaker AS label_text, word FROM raw_words
     QUALIFY row_number() OVER (PARTITION BY dialogue_id, word_idx ORDER BY loaded_at DESC NULLS LAST, CASE WHEN NOT isnan("start") THEN "start" END DESC NULLS LAST, "end" DESC NULLS LAST, speaker DESC NULLS LAST, word DESC NULLS LAST) = 1
   ) WHERE st IS NOT NULL
 ), p AS (
@@ -59,16 +60,17 @@ WITH r AS (
   FROM (SELECT dialogue_id, {told} FROM n GROUP BY 1) c
   LEFT JOIN (SELECT dialogue_id, max(CASE WHEN lower(trim(lang))[1:2] IN ('en', 'de', 'fr', 'es') THEN lower(trim(lang))[1:2] END) AS lang FROM dialogues GROUP BY 1) k USING (dialogue_id)
 ), s AS (
-  SELECT n.dialogue_id, word_idx, st, sp FROM n JOIN lang USING (dialogue_id)
+  SELECT n.dialogue_id, word_idx, st, sp, en, trim(rest) AS text FROM n JOIN lang USING (dialogue_id)
   WHERE sayable AND sp IS NOT NULL AND op = 0 AND cl = 0 AND NOT (CASE {hums} ELSE false END)
-    AND NOT coalesce(fo.kind = fc.kind AND fo.pos < fc.pos AND fc.pos - fo.pos < {turns.NOTE_ROWS} AND fc.st - fo.st <= {turns.HALO_S} AND (pc IS NULL OR pc <= fo.pos) AND (no IS NULL OR no >= fc.pos), false)
+    AND NOT coalesce(fo.kind = fc.kind AND fo.pos < fc.pos AND (pc IS NULL OR pc <= fo.pos) AND (no IS NULL OR no >= fc.pos), false)
 ), t AS (SELECT *, sum(c) OVER (PARTITION BY dialogue_id ORDER BY st, word_idx ROWS UNBOUNDED PRECEDING) AS k FROM (
   SELECT *, CASE WHEN lag(sp) OVER (PARTITION BY dialogue_id ORDER BY st, word_idx) = sp THEN 0 ELSE 1 END AS c FROM s))
-SELECT dialogue_id, arg_min(word_idx, (st, word_idx)) AS first_word_idx, sp AS speaker, count(*) AS n_words FROM t GROUP BY dialogue_id, sp, k"""
+SELECT dialogue_id, arg_min(word_idx, (st, word_idx)) AS first_word_idx, sp AS speaker, count(*) AS n_words{more if texts else ""} FROM t GROUP BY dialogue_id, sp, k"""
 
 
 SQL = {
     "p5_found": _p5(),
+    "p5_turns": _p5(texts=True),
     "p3_found": """
 WITH u AS (
   SELECT dialogue_id, CAST(round("start" * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e FROM words

@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkloom.operators.blocks import Carry, carry, join_blocks
+from talkloom.operators.blocks import Carry, Scan, carry, join_blocks, scan
 from talkloom.operators.intervals import FAR_S
 from talkloom.session import checkpointed
 
-#: Length of the blocks that a dialogue is cut into, and how far around a block notes over several rows are seen.
-BLOCK_S, HALO_S = 600, 20
-#: Rows from the first to the last of a note, at most.
-NOTE_ROWS = 8
+#: Length of the blocks that a dialogue is cut into, in seconds, and in places of its list.
+BLOCK_S, BLOCK_ROWS = 600, 5000
 
 # Forms of hesitations and hums per language; letters may be drawn out, halves repeated.
 HUM_UNITS = {
@@ -44,14 +42,15 @@ def hum_pattern(units: str) -> str:
     return rf"^(?:\p{{L}}-)*(?:{units})(?:-(?:{units}))*$"
 
 
-def label_of(label: Column, aliases: Column) -> Column:
-    """A or B for a label: A/B, the channel number, either after speaker, spk, channel or ch, or an alias; else null.
+def plain_label(label: Column) -> Column:
+    """A label in lower case, without brackets, arrows and colon around it, single blanks inside."""
+    return F.lower(F.regexp_replace(F.regexp_replace(label, r"^[\s\[(>]+|[\s\]):]+$", ""), r"\s+", " "))
 
-    ``aliases`` is a map from lower-case alias to speaker.
-    """
-    x = F.lower(F.regexp_replace(F.regexp_replace(label, r"^[\s\[(>]+|[\s\]):]+$", ""), r"\s+", " "))
-    key = F.regexp_replace(x, r"^(?:speaker|spk|channel|ch)[ _-]*", "")
-    return F.when(key.rlike("^(?:a|0+)$"), "A").when(key.rlike("^(?:b|0*1)$"), "B").otherwise(F.try_element_at(aliases, x))
+
+def channel_of(plain: Column) -> Column:
+    """A or B for A/B or the channel number, either after speaker, spk, channel or ch; else null."""
+    key = F.regexp_replace(plain, r"^(?:speaker|spk|channel|ch)[ _-]*", "")
+    return F.when(key.rlike("^(?:a|0+)$"), "A").when(key.rlike("^(?:b|0*1)$"), "B")
 
 
 def bare(word: Column) -> Column:
@@ -59,116 +58,112 @@ def bare(word: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(word, NOTE, ""), NOTE, "")
 
 
-def _parse(rows: DataFrame, aliases: dict[str, str]) -> DataFrame:
-    """One row per (dialogue_id, word_idx) with a start, with what follows from the row alone."""
-    newest = F.max(F.struct("loaded_at", "start", "end", "speaker", "word")).alias("v")
-    r = rows.withColumn("start", F.when(F.abs("start") < FAR_S, F.col("start"))).groupBy("dialogue_id", "word_idx").agg(newest)
-    r = r.select("dialogue_id", "word_idx", "v.*").where(F.col("start").isNotNull())
-    amap = F.create_map(*[F.lit(x) for kv in sorted(aliases.items()) for x in kv]) if aliases else F.create_map().cast("map<string,string>")
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest delivery of every (dialogue_id, word_idx) that has a start."""
+    r = rows.select(F.struct("dialogue_id").alias("k"), "word_idx", "speaker", "word", F.when(F.abs("start") < FAR_S, F.col("start")).alias("start"), "end", "loaded_at", F.floor(F.col("word_idx") / BLOCK_ROWS).alias("__b"))
+    down = [F.col(c).desc_nulls_last() for c in ("loaded_at", "start", "end", "speaker", "word")]
+    r = r.withColumn("__r", F.row_number().over(Window.partitionBy("k", "__b").orderBy("word_idx", *down)))
+    same = F.lag("word_idx").over(Window.partitionBy("k", "__b").orderBy("word_idx", *down))
+    r = r.withColumn("__again", (F.col("__r") > 1) & same.eqNullSafe(F.col("word_idx")))
+    return r.where(~F.col("__again") & F.col("start").isNotNull()).select("k", "word_idx", "speaker", "word", "start", "end")
+
+
+def _bits(core: Column, by: dict[str, Column]) -> Column:
+    """One bit for each language whose condition holds."""
+    out = F.lit(0)
+    for i, cond in enumerate(by.values()):
+        out = out + F.when(cond, 1 << i).otherwise(0)
+    return out
+
+
+def _parsed(rows: DataFrame, aliases: DataFrame) -> DataFrame:
+    """What follows from each row alone: label, text, whether it can be spoken, marks of notes, and languages of hums and frequent words."""
     word = F.coalesce("word", F.lit(""))
-    inner = F.regexp_extract(word, LABEL_TOKEN, 1)
-    token_label = F.when(word.rlike(LABEL_SIGN), label_of(inner, amap))
-    core = F.regexp_replace(F.lower(bare(word)), EDGE, "")
-    rest = bare(word)
-    opens = F.when(rest != "", F.instr(F.lit(OPENS), F.substring(rest, 1, 1))).otherwise(0)
+    token = F.when(word.rlike(LABEL_SIGN), plain_label(F.regexp_extract(word, LABEL_TOKEN, 1)))
+    r = _newest(rows).withColumns({"__t": token, "__s": plain_label(F.col("speaker"))})
+    # Names of roles come from the table of aliases; Spark sends it to all tasks if it is small and joins by name if not.
+    names = aliases.where(F.col("alias").isNotNull() & F.col("speaker").isin("A", "B")).groupBy(F.lower("alias").alias("__a")).agg(F.max("speaker").alias("__n"))
+    for c in ("__t", "__s"):
+        r = r.join(names.withColumnsRenamed({"__a": f"{c}a", "__n": f"{c}n"}), F.col(c) == F.col(f"{c}a"), "left")
+    token_label = F.coalesce(channel_of(F.col("__t")), F.col("__tn"))
+    r = r.withColumns({"__tl": token_label, "__sl": F.coalesce(channel_of(F.col("__s")), F.col("__sn")), "__rest": bare(word)})
+    r = r.withColumn("__core", F.regexp_replace(F.lower("__rest"), EDGE, ""))
+    core, rest = F.col("__core"), F.col("__rest")
+    open_ = F.when(rest != "", F.instr(F.lit(OPENS), F.substring(rest, 1, 1))).otherwise(0)
     tail = F.regexp_extract(rest, r"([^.,;:!?])[.,;:!?]*$", 1)
-    closes = F.when(tail != "", F.instr(F.lit(CLOSES), tail)).otherwise(0)
+    close = F.when(tail != "", F.instr(F.lit(CLOSES), tail)).otherwise(0)
+    part = F.col("__tl").isNull() & (core != "")
+    marked = part & ((open_ > 0) | (close > 0))
+    any_hum = core.rlike("|".join(hum_pattern(u) for u in HUM_UNITS.values()))
+    hums = F.when(any_hum, _bits(core, {g: core.rlike(hum_pattern(u)) for g, u in HUM_UNITS.items()})).otherwise(0)
+    known = core.isin(*sorted({w for ws in FREQUENT.values() for w in ws}))
     return r.select(
-        "dialogue_id", "word_idx", "start", "end", F.floor(F.col("start") / BLOCK_S).alias("block"),
-        F.coalesce(token_label, label_of(F.col("speaker"), amap)).alias("label"),
-        F.trim(rest).alias("text"), core.alias("core"),
-        (token_label.isNull() & ~word.rlike(TIME_MARK) & (core != "")).alias("sayable"),
-        F.when(token_label.isNull() & (core != ""), opens).otherwise(0).alias("opens"),
-        F.when(token_label.isNull() & (core != ""), closes).otherwise(0).alias("closes"),
+        "k", F.floor(F.col("start") / BLOCK_S).alias("block"), "start", "word_idx", "end", F.trim(rest).alias("text"),
+        F.coalesce("__tl", "__sl").alias("label"), (part & ~word.rlike(TIME_MARK) & ~marked).alias("sayable"),
+        F.when(marked, F.struct(open_.alias("opens"), close.alias("closes"))).alias("mark"),
+        hums.alias("hums"), F.when(known, _bits(core, {g: core.isin(*ws) for g, ws in FREQUENT.items()})).otherwise(0).alias("usual"),
     )
 
 
-def _without_notes(rows: DataFrame) -> DataFrame:
-    """Drops ``sayable`` inside notes that stretch over several rows, from a token that opens to one that closes."""
-    b = lambda x: F.floor((F.col("start") + x) / BLOCK_S)
-    h = rows.withColumn("own", F.col("block")).withColumn("block", F.explode(F.sequence(b(-HALO_S), b(HALO_S))))
-    w = Window.partitionBy("dialogue_id", "block").orderBy("start", "word_idx")
-    h = h.withColumn("pos", F.row_number().over(w))
-    mark = lambda c: F.when(F.col(c) > 0, F.struct("pos", F.col(c).alias("kind"), "start"))
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    h = h.withColumns({"o": F.last(mark("opens"), True).over(back), "c": F.first(mark("closes"), True).over(ahead), "pc": F.last(mark("closes"), True).over(before), "no": F.first(mark("opens"), True).over(after)})
-    pair = F.col("o").isNotNull() & F.col("c").isNotNull() & (F.col("o.kind") == F.col("c.kind")) & (F.col("o.pos") < F.col("c.pos"))
-    near = (F.col("c.pos") - F.col("o.pos") < NOTE_ROWS) & (F.col("c.start") - F.col("o.start") <= HALO_S)
-    # Nothing else closes after the opening token before this row, nothing else opens before the closing one after it.
-    clear = (F.col("pc").isNull() | (F.col("pc.pos") <= F.col("o.pos"))) & (F.col("no").isNull() | (F.col("no.pos") >= F.col("c.pos")))
-    noted = F.coalesce(pair & near & clear, F.lit(False))
-    half = (F.col("opens") > 0) | (F.col("closes") > 0)  # what is left of a note without its other end
-    return h.where(F.col("own") == F.col("block")).withColumn("sayable", F.col("sayable") & ~noted & ~half).drop("own", "pos", "o", "c", "pc", "no", "opens", "closes")
-
-
 def languages(blocks: DataFrame, dialogues: DataFrame) -> DataFrame:
-    """(dialogue_id, block, lang) of rows (dialogue_id, block, f_en, f_de, ...): the table's language, else that of most frequent words."""
-    sums = blocks.groupBy("dialogue_id").agg(*[F.sum(f"f_{g}").alias(f"s_{g}") for g in FREQUENT])
-    d = dialogues.groupBy(F.col("dialogue_id").alias("__d")).agg(F.max(F.regexp_extract(F.lower(F.trim("lang")), "^([a-z]{2})(?:[-_].*)?$", 1)).alias("__l"))
-    known = F.when(F.col("__l").isin(*FREQUENT), F.col("__l"))
-    told = F.array_max(F.array(*[F.struct(F.col(f"s_{g}").alias("n"), F.lit(-i).alias("i"), F.lit(g).alias("g")) for i, g in enumerate(FREQUENT)]))["g"]
-    per = sums.join(d, F.col("dialogue_id").eqNullSafe(F.col("__d")), "left").select(F.col("dialogue_id").alias("__d"), F.coalesce(known, told).alias("lang"))
-    return blocks.join(per, F.col("dialogue_id").eqNullSafe(F.col("__d")), "left").drop("__d")
+    """(k, lang) of blocks (k, f_en, f_de, ...): the place of the table's language, else of that of most frequent words."""
+    sums = blocks.groupBy("k").agg(*[F.sum(f"f_{g}").alias(f"s_{g}") for g in FREQUENT])
+    d = dialogues.groupBy(F.struct("dialogue_id").alias("__k")).agg(F.max(F.regexp_extract(F.lower(F.trim("lang")), "^([a-z]{2})(?:[-_].*)?$", 1)).alias("__l"))
+    place = F.array_position(F.array(*[F.lit(g) for g in FREQUENT]), F.col("__l")) - 1
+    told = F.array_max(F.array(*[F.struct(F.col(f"s_{g}").alias("n"), F.lit(-i).alias("i")) for i, g in enumerate(FREQUENT)]))["i"]
+    return sums.join(d, F.col("k") == F.col("__k"), "left").select("k", F.when(place >= 0, place).otherwise(-told).cast("int").alias("lang"))
 
 
-def spoken_words(rows: DataFrame, aliases: dict[str, str], dialogues: DataFrame) -> DataFrame:
-    """Spoken words (dialogue_id, block, start, word_idx, end, text, speaker, turn_no) in turns.
+def spoken_words(rows: DataFrame, aliases: DataFrame, dialogues: DataFrame) -> DataFrame:
+    """Spoken words (k, block, start, word_idx, end, text, speaker); ``k`` is a struct of dialogue_id.
 
     Every word_idx counts once, in its newest delivery; rows without start, hesitations and hums of the
-    dialogue's language, notes of sounds or of the recording (in one token or over several rows), time
+    dialogue's language, notes of sounds or of the recording (in one token, or from a token that opens to one that
+    closes, with no other mark between, over any number of rows), time
     marks, labels and tokens without letter or digit are left out. A row without label has the label of the
     nearest row before it, spoken or not; words before the first label of a dialogue belong to nobody and are
-    left out. Order is by start, then word_idx. Dialogues may be of any length: they are worked on in blocks
-    of ten minutes between which the last label, the last speaker and the turn number are carried. An empty
+    left out. Order is by start, then word_idx. ``aliases`` has alias and speaker. Dialogues may be of any length: they are worked on in
+    blocks of ten minutes, which know the last label and mark before them and the next mark after them. An empty
     table gives no rows; further columns are ignored.
     """
-    r = checkpointed(_without_notes(_parse(rows, aliases)))  # gone over five times from here
-    counts = [F.sum(F.when(F.col("core").isin(*ws), 1).otherwise(0)).alias(f"f_{g}") for g, ws in FREQUENT.items()]
-    order = F.when(F.col("label").isNotNull(), F.struct("start", "word_idx"))
-    blocks = r.groupBy("dialogue_id", "block").agg(F.max_by("label", order).alias("__label"), *counts)
-    blocks = languages(carry(blocks, ["dialogue_id"], "block", [Carry("before", "last", "__label")]), dialogues)
-    r = join_blocks(r, blocks.select("dialogue_id", "block", "before", "lang"), ["dialogue_id"], "block")
-    w = Window.partitionBy("dialogue_id", "block").orderBy("start", "word_idx")
-    r = r.withColumn("speaker", F.coalesce(F.last("label", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("before")))
-    hum = F.lit(False)
-    for g, u in HUM_UNITS.items():
-        hum = F.when(F.col("lang") == g, F.col("core").rlike(hum_pattern(u))).otherwise(hum)
-    s = r.where(F.col("sayable") & ~hum & F.col("speaker").isNotNull())
-    s = s.withColumn("__lag", F.lag("speaker").over(w))
-    sums = s.groupBy("dialogue_id", "block").agg(
-        F.min_by("speaker", F.struct("start", "word_idx")).alias("__first"), F.max_by("speaker", F.struct("start", "word_idx")).alias("__last"),
-        F.sum(F.when(F.col("__lag") != F.col("speaker"), 1).otherwise(0)).alias("__changes"),
-    )
-    sums = carry(sums, ["dialogue_id"], "block", [Carry("__prev", "last", "__last")])
-    sums = sums.withColumn("__new", F.when(F.col("__prev").isNull(), 0).when(F.col("__prev") != F.col("__first"), 1).otherwise(0))
-    sums = carry(sums.withColumn("__n", F.col("__changes") + F.col("__new")), ["dialogue_id"], "block", [Carry("__before", "sum", "__n")])
-    sums = sums.select("dialogue_id", "block", (F.col("__before") + F.col("__new")).alias("__base"))
-    s = join_blocks(s, sums, ["dialogue_id"], "block")
-    inside = F.sum(F.when(F.col("__lag") != F.col("speaker"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return s.select("dialogue_id", "block", "start", "word_idx", "end", "text", "speaker", (F.col("__base") + inside).cast("bigint").alias("turn_no"))
-
-
-def turns(spoken: DataFrame) -> DataFrame:
-    """(dialogue_id, turn_no, speaker, first_word_idx, n_words, start, end) of every turn; combined by block before the shuffle."""
+    r = _parsed(rows, aliases).repartition("k", "block")
+    at = lambda c: F.when(F.col(c).isNotNull(), F.struct("start", "word_idx"))
+    counts = [F.sum(F.shiftright("usual", i).bitwiseAND(1)).alias(f"f_{g}") for i, g in enumerate(FREQUENT)]
+    blocks = r.groupBy("k", "block").agg(F.max_by("label", at("label")).alias("__label"), F.max_by("mark", at("mark")).alias("__last"), F.min_by("mark", at("mark")).alias("__first"), *counts)
+    known = carry(blocks, ["k"], "block", [Carry("label0", "last", "__label"), Carry("mark0", "last", "__last"), Carry("mark1", "first", "__first", after=True)])
+    lang = languages(blocks, dialogues).withColumnRenamed("k", "__kk")
+    known = known.join(lang, F.col("k") == F.col("__kk"), "left").select("k", "block", "label0", "mark0", "mark1", "lang")
+    r = join_blocks(r, known, ["k"], "block")
+    w = Window.partitionBy("k", "block").orderBy("start", "word_idx")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    following = F.expr("lead(mark, 1) ignore nulls over (partition by k, block order by start, word_idx)")
+    r = r.withColumns({
+        "speaker": F.coalesce(F.last("label", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("label0")),
+        "__m0": F.coalesce(F.last("mark", True).over(before), F.col("mark0")), "__m1": F.coalesce(following, F.col("mark1")),
+    })
+    noted = F.coalesce((F.col("__m0.opens") > 0) & (F.col("__m0.opens") == F.col("__m1.closes")), F.lit(False))
+    hum = F.expr("shiftright(hums, lang) & 1") == 1
+    return r.where(F.col("sayable") & ~noted & ~hum & F.col("speaker").isNotNull()).select("k", "block", "start", "word_idx", "end", "text", "speaker")
+
+
+def turns(spoken: DataFrame, texts: bool = False) -> DataFrame:
+    """(dialogue_id, turn_no, speaker, first_word_idx, n_words, start, end) of every turn, and with ``texts`` its words as ``text``.
+
+    Words become runs of one speaker inside their block; from there on only runs are moved. A turn is one row, whatever
+    blocks it crosses; its end is the latest of its words.
+    """
+    w = Window.partitionBy("k", "block").orderBy("start", "word_idx")
+    s = spoken.withColumn("__new", F.when(F.lag("speaker").over(w) == F.col("speaker"), 0).otherwise(1))
+    s = s.withColumn("run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     at = F.struct("start", "word_idx")
+    said = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "word_idx", "text"))), lambda x: x["text"]), " ").alias("text")] if texts else []
     end = F.max(F.when(~F.isnan("end"), F.col("end")))
-    parts = spoken.groupBy("dialogue_id", "block", "turn_no", "speaker").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n"), end.alias("e"))
-    t = parts.groupBy("dialogue_id", "turn_no", "speaker").agg(F.min("at").alias("at"), F.sum("n").alias("n_words"), F.max("e").alias("end"))
-    return t.select("dialogue_id", "turn_no", "speaker", F.col("at.word_idx").alias("first_word_idx"), "n_words", F.col("at.start").alias("start"), "end")
-
-
-def texts(spoken: DataFrame) -> DataFrame:
-    """(dialogue_id, turn_no, part, speaker, start, end, text): the words of a turn; a turn that crosses blocks has a part in each."""
-    at = F.struct("start", "word_idx", "text")
-    words = F.transform(F.array_sort(F.collect_list(at)), lambda x: x["text"])
-    end = F.max(F.when(~F.isnan("end"), F.col("end")))
-    return spoken.groupBy("dialogue_id", "turn_no", F.col("block").alias("part"), "speaker").agg(F.min("start").alias("start"), end.alias("end"), F.array_join(words, " ").alias("text"))
-
-
-def alias_map(aliases: DataFrame, most: int = 10_000) -> dict[str, str]:
-    """The aliases as a dictionary; raises beyond ``most`` rows, as it is sent to all tasks."""
-    rows = aliases.where(F.col("alias").isNotNull() & F.col("speaker").isin("A", "B")).select(F.lower("alias"), "speaker").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} aliases")
-    return {a: s for a, s in rows}
+    runs = s.groupBy("k", "block", "run", "speaker").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n"), end.alias("e"), *said)
+    runs = checkpointed(runs)  # far fewer than words, and gone over several times
+    runs = scan(runs, ["k"], "block", ["run"], [Scan("__was", "last", "speaker", own=False)])
+    runs = runs.withColumn("__turn", F.when(F.col("__was") == F.col("speaker"), 0).otherwise(1).cast("bigint"))
+    runs = scan(runs, ["k"], "block", ["run"], [Scan("turn_no", "sum", "__turn")])
+    whole = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text")] if texts else []
+    t = runs.groupBy("k", "turn_no", "speaker").agg(F.min("at").alias("at"), F.sum("n").alias("n_words"), F.max("e").alias("end"), *whole)
+    cols = ["k.dialogue_id", (F.col("turn_no") - 1).alias("turn_no"), "speaker", F.col("at.word_idx").alias("first_word_idx"), "n_words", F.col("at.start").alias("start"), "end"]
+    return t.select(*cols, *(["text"] if texts else []))

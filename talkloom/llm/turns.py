@@ -126,10 +126,10 @@ def spoken_words(rows: DataFrame, aliases: DataFrame, dialogues: DataFrame) -> D
     blocks of ten minutes, which know the last label and mark before them and the next mark after them. An empty
     table gives no rows; further columns are ignored.
     """
-    r = _parsed(rows, aliases).repartition("k", "block")
+    r = checkpointed(_parsed(rows, aliases)).repartition("k", "block")  # two passes go over the parsed rows
     at = lambda c: F.when(F.col(c).isNotNull(), F.struct("start", "word_idx"))
     counts = [F.sum(F.shiftright("usual", i).bitwiseAND(1)).alias(f"f_{g}") for i, g in enumerate(FREQUENT)]
-    blocks = r.groupBy("k", "block").agg(F.max_by("label", at("label")).alias("__label"), F.max_by("mark", at("mark")).alias("__last"), F.min_by("mark", at("mark")).alias("__first"), *counts)
+    blocks = checkpointed(r.groupBy("k", "block").agg(F.max_by("label", at("label")).alias("__label"), F.max_by("mark", at("mark")).alias("__last"), F.min_by("mark", at("mark")).alias("__first"), *counts))
     known = carry(blocks, ["k"], "block", [Carry("label0", "last", "__label"), Carry("mark0", "last", "__last"), Carry("mark1", "first", "__first", after=True)])
     lang = languages(blocks, dialogues).withColumnRenamed("k", "__kk")
     known = known.join(lang, F.col("k") == F.col("__kk"), "left").select("k", "block", "label0", "mark0", "mark1", "lang")
@@ -147,23 +147,29 @@ def spoken_words(rows: DataFrame, aliases: DataFrame, dialogues: DataFrame) -> D
 
 
 def turns(spoken: DataFrame, texts: bool = False) -> DataFrame:
-    """(dialogue_id, turn_no, speaker, first_word_idx, n_words, start, end) of every turn, and with ``texts`` its words as ``text``.
+    """(dialogue_id, turn_no, speaker, first_word_idx, n_words, start) of every turn, and with ``texts`` the latest end of its words and the words as ``text``.
 
     Words become runs of one speaker inside their block; from there on only runs are moved. A turn is one row, whatever
-    blocks it crosses; its end is the latest of its words.
+    blocks it crosses.
     """
     w = Window.partitionBy("k", "block").orderBy("start", "word_idx")
-    s = spoken.withColumn("__new", F.when(F.lag("speaker").over(w) == F.col("speaker"), 0).otherwise(1))
-    s = s.withColumn("run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    new = F.when(F.lag("speaker").over(w) == F.col("speaker"), 0).otherwise(1)
     at = F.struct("start", "word_idx")
-    said = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "word_idx", "text"))), lambda x: x["text"]), " ").alias("text")] if texts else []
-    end = F.max(F.when(~F.isnan("end"), F.col("end")))
-    runs = s.groupBy("k", "block", "run", "speaker").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n"), end.alias("e"), *said)
+    if texts:
+        s = spoken.withColumn("__new", new).withColumn("run", F.sum("__new").over(upto))
+        said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "word_idx", "text"))), lambda x: x["text"]), " ")
+        runs = s.groupBy("k", "block", "run", "speaker").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n"), F.max(F.when(~F.isnan("end"), F.col("end"))).alias("end"), said.alias("text"))
+    else:  # a run is as long as the next one of the block, or the block's end, is away
+        s = spoken.withColumns({"__new": new, "run": F.row_number().over(w), "__left": F.count(F.lit(1)).over(Window.partitionBy("k", "block"))})
+        s = s.where("__new = 1").withColumn("n", F.coalesce(F.lead("run").over(w), F.col("__left") + 1) - F.col("run"))
+        runs = s.select("k", "block", "run", "speaker", at.alias("at"), F.col("n").cast("bigint").alias("n"))
     runs = checkpointed(runs)  # far fewer than words, and gone over several times
     runs = scan(runs, ["k"], "block", ["run"], [Scan("__was", "last", "speaker", own=False)])
     runs = runs.withColumn("__turn", F.when(F.col("__was") == F.col("speaker"), 0).otherwise(1).cast("bigint"))
+    # Only the first run of a block may go on with a turn of the block before, so places in the block follow from a sum.
     runs = scan(runs, ["k"], "block", ["run"], [Scan("turn_no", "sum", "__turn")])
-    whole = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text")] if texts else []
-    t = runs.groupBy("k", "turn_no", "speaker").agg(F.min("at").alias("at"), F.sum("n").alias("n_words"), F.max("e").alias("end"), *whole)
-    cols = ["k.dialogue_id", (F.col("turn_no") - 1).alias("turn_no"), "speaker", F.col("at.word_idx").alias("first_word_idx"), "n_words", F.col("at.start").alias("start"), "end"]
-    return t.select(*cols, *(["text"] if texts else []))
+    more = [F.max("end").alias("end"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), " ").alias("text")] if texts else []
+    t = runs.groupBy("k", "turn_no", "speaker").agg(F.min("at").alias("at"), F.sum("n").alias("n_words"), *more)
+    cols = ["k.dialogue_id", (F.col("turn_no") - 1).alias("turn_no"), "speaker", F.col("at.word_idx").alias("first_word_idx"), "n_words", F.col("at.start").alias("start")]
+    return t.select(*cols, *(["end", "text"] if texts else []))

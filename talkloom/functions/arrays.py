@@ -113,6 +113,12 @@ def labels(streams: Column, initial: Sequence[int], zero: int) -> Column:
     return F.transform(streams, lambda s, k: F.transform(s, lambda v: F.when(v < F.get(i0, k), v).otherwise(zero)))
 
 
+def whole_if_prompted(n_chunks: Column, prompt: Column | int) -> Column:
+    """True; an error when run if a row with a prompt would be cut into several chunks."""
+    bad = (_i(prompt) > 0) & (n_chunks > 1)
+    return F.when(bad, F.raise_error(F.lit("a row with a prompt must not be split")).cast("boolean")).otherwise(F.lit(True))
+
+
 def masked_prompt(labels_: Column, delays: Sequence[int], prompt: Column | int, zero: int) -> Column:
     """The first 1 + delay + prompt labels of each stream are no targets."""
     d = _lit_array(delays)
@@ -161,6 +167,49 @@ def frames_of_events(events: Column, n: Column | int, pad: int, start: int) -> C
     return F.aggregate(inside, base, write)
 
 
+def sorted_events(events: Column) -> Column:
+    """Events in the order of ``pos``; those of one place stay in the order they are given in."""
+    tagged = F.transform(events, lambda e, i: F.struct(e["pos"].alias("pos"), i.alias("i"), e.alias("e")))
+    return F.transform(F.array_sort(tagged), lambda x: x["e"])
+
+
+def prompted_events(events: Column, first: Column | int, kept: Column | int, prompt: Column | int, fields: Sequence[str]) -> Column:
+    """Events of a row behind a prompt: those in [``first``, ``kept``) of the row, moved by the prompt's frames."""
+    inside = F.filter(events, lambda e: (e["pos"] >= _i(first)) & (e["pos"] < _i(kept)))
+    return F.transform(inside, lambda e: F.struct((e["pos"] + _i(prompt)).cast("int").alias("pos"), *[e[f].alias(f) for f in fields if f != "pos"]))
+
+
+def chosen_events(events: Column, n: Column | int, hint_only: Column | bool = False, skip: Column | float = 0.0, jitter: int = 0, seed: Column | int = 0) -> Column:
+    """Events (pos, ratio, skip_forbid, pred, hint) as (pos, tokens), in order, for ``frames_of_events``.
+
+    An event's tokens are its hint if that is complete (ratio 1), else its prediction; with ``hint_only`` the hint
+    alone. Events without tokens, or outside [0, n), are dropped, and of those that may be skipped (skip_forbid 0) a share
+    ``skip``. Up to ``jitter`` frames are added to a place, after which it must still be inside. Choices come from a hash of
+    seed, place and number of the event, so they are the same in every run.
+    """
+    only = hint_only if isinstance(hint_only, Column) else F.lit(hint_only)
+    share = skip if isinstance(skip, Column) else F.lit(float(skip))
+    part = lambda i, e, what: F.pmod(F.xxhash64(_i(seed), F.lit(what), e["pos"], i), F.lit(1 << 20))
+
+    def one(e: Column, i: Column) -> Column:
+        full = (e["ratio"] >= 1.0) & (F.size(e["hint"]) > 0)
+        tokens = F.when(only | full, e["hint"]).otherwise(e["pred"])
+        skipped = (e["skip_forbid"] == 0) & (part(i, e, "skip") < share * (1 << 20))
+        pos = (e["pos"] + (part(i, e, "jitter") % (jitter + 1) if jitter else F.lit(0))).cast("int")
+        ok = (e["pos"] >= 0) & (e["pos"] < _i(n)) & (pos < _i(n)) & ~skipped & (F.size(tokens) > 0)
+        return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), pos.alias("pos"), tokens.alias("tokens"))
+
+    kept = F.filter(F.transform(sorted_events(events), one), lambda x: x["ok"])
+    return F.transform(kept, lambda x: F.struct(x["pos"].alias("pos"), x["tokens"].alias("tokens")))
+
+
+def shift_within(stream: Column, by: Column | int, pad: int) -> Column:
+    """``shifted`` by at least 1 and at most one less than the length, to the side of the sign of ``by``; streams of up to one frame stay."""
+    n = F.size(stream)
+    s = F.greatest(F.lit(1), F.least(F.abs(_i(by)), n - 1))
+    return F.when(n <= 1, stream).otherwise(shifted(stream, F.when(_i(by) >= 0, s).otherwise(-s), pad))
+
+
 def padded(streams: Column, length: Column | int, zero: int) -> Column:
     return F.transform(streams, lambda s: F.concat(s, repeat(zero, _i(length) - F.size(s))))
 

@@ -148,6 +148,9 @@ def most_tokens(words: Column) -> Column:
     return (F.lit(12.5) * (words + 3)).cast("int")
 
 
+# Words of a description by which the origin of a voice is told, in this order.
+ORIGINS = [("british", "gb"), ("american", "us"), ("australian", "au"), ("canadian", "ca")]
+
 # Number words.
 ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
 TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
@@ -160,6 +163,30 @@ def small_number(n: Column) -> Column:
     return F.when(n < 20, F.get(ones, n)).when(n < 100, F.concat(F.get(tens, (n / 10).cast("int") - 2), unit))
 
 
+def number_words(n: Column) -> Column:
+    """0 to 999,999 in words, else null."""
+    ones = F.array(*[F.lit(x) for x in ONES])
+
+    def below(k: Column) -> Column:
+        """A number below a thousand; empty for 0."""
+        high, low = F.floor(k / 100).cast("int"), (k % 100).cast("int")
+        return F.concat_ws(" ", F.when(high > 0, F.concat(F.get(ones, high), F.lit(" hundred"))), F.when(low > 0, small_number(low)))
+
+    k = n.cast("int")
+    thousands, rest = F.floor(k / 1000).cast("int"), (k % 1000).cast("int")
+    said = F.concat_ws(" ", F.when(thousands > 0, F.concat(below(thousands), F.lit(" thousand"))), F.nullif(below(rest), F.lit("")))
+    return F.when((n >= 0) & (n < 1_000_000), F.when(k == 0, "zero").otherwise(said))
+
+
+def voice_fields(description: Column, tier: Column) -> Column:
+    """struct<gender, origin, tier> of a voice from its description; the tier is 'pool' where none is given."""
+    d = F.lower(F.coalesce(description, F.lit("")))
+    origin = F.lit("intl")
+    for word, code in reversed(ORIGINS):
+        origin = F.when(F.contains(d, F.lit(word)), code).otherwise(origin)
+    return F.struct(F.when(d.rlike("^(?:female|woman)"), "female").otherwise("male").alias("gender"), origin.alias("origin"), F.coalesce(tier, F.lit("pool")).alias("tier"))
+
+
 def digit_words(text: Column) -> Column:
     """The digits of a text, each in words."""
     ones = F.array(*[F.lit(x) for x in ONES])

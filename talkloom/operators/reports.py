@@ -53,6 +53,56 @@ def medoids(vectors: DataFrame, key: str, id_col: str, vector: str) -> DataFrame
     return s.groupBy(key).agg(best.alias("b")).select(key, F.col(f"b.{id_col}").alias(id_col), F.col(f"b.{vector}").alias(vector))
 
 
+def first_match(df: DataFrame, key: str, tables: dict[str, DataFrame], otherwise: str) -> DataFrame:
+    """``df`` with ``status``: the name of the first table that has the row's key. Each table is one column of keys; null keys match nothing."""
+    out, status = df, F.lit(otherwise)
+    for i, (name, ids) in enumerate(tables.items()):
+        out = out.join(ids.select(F.col(ids.columns[0]).alias(f"__k{i}")).distinct(), F.col(key) == F.col(f"__k{i}"), "left")
+    for i, name in reversed(list(enumerate(tables))):
+        status = F.when(F.col(f"__k{i}").isNotNull(), name).otherwise(status)
+    return out.select(*df.columns, status.alias("status"))
+
+
+def funnel(df: DataFrame, status: str, order: Sequence[str]) -> DataFrame:
+    """(place, status, n, share): every status of ``order``, with the rounded percentage of all rows, '-' for an empty table."""
+    spark = df.sparkSession
+    names = spark.createDataFrame(list(enumerate(order)), "place int, status string")
+    n = df.groupBy(F.col(status).alias("__s")).agg(F.count(F.lit(1)).alias("c"))
+    j = names.join(n, F.col("status") == F.col("__s"), "left").select("place", "status", F.coalesce("c", F.lit(0)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # one row per status
+    return j.select("place", "status", "n", F.when(total > 0, F.concat(F.bround(F.col("n") * 100 / total).cast("int").cast("string"), F.lit("%"))).otherwise("-").alias("share"))
+
+
+def missing_values(df: DataFrame, key: str, col: str, wanted: Sequence[str]) -> DataFrame:
+    """(key, missing): each wanted value of ``col`` that no row of a key has. Values are combined per key before the shuffle."""
+    has = df.groupBy(key).agg(*[F.max(F.when(F.col(col) == v, 1)).alias(f"__h{i}") for i, v in enumerate(wanted)])
+    gone = F.array_compact(F.array(*[F.when(F.col(f"__h{i}").isNull(), v) for i, v in enumerate(wanted)]))
+    return has.select(key, F.explode(gone).alias("missing"))
+
+
+def required(df: DataFrame, key: str, col: str, wanted: Sequence[str], skip: bool = False) -> DataFrame:
+    """Rows of the keys that have all wanted values; a key that lacks one is an error when run, or is left out with ``skip``."""
+    gone = missing_values(df, key, col, wanted).groupBy(F.col(key).alias("__k")).agg(F.array_join(F.array_sort(F.collect_set("missing")), ", ").alias("__m"))
+    if skip:
+        return df.join(gone, F.col(key).eqNullSafe(F.col("__k")), "left_anti")
+    j = df.join(gone, F.col(key).eqNullSafe(F.col("__k")), "left")
+    fail = F.raise_error(F.concat(F.lit(f"missing {col} "), F.col("__m"), F.lit(" in "), F.coalesce(F.col(key).cast("string"), F.lit("?"))))
+    return j.where(F.when(F.col("__m").isNotNull(), fail.cast("boolean")).otherwise(F.lit(True))).drop("__k", "__m")
+
+
+def require_matching(text: DataFrame, audio: DataFrame, events: DataFrame | None, key: str) -> DataFrame:
+    """Keys of rows to be joined. Text and audio must have the same keys, and with ``events`` each of these must have events; events without text are ignored.
+
+    What is missing is counted, and raises an error before anything is written.
+    """
+    ids = {n: d.select(key).distinct() for n, d in (("text", text), ("audio", audio), ("events", events)) if d is not None}
+    pairs = [("text", "audio"), ("audio", "text")] + ([("text", "events")] if events is not None else [])
+    lacks = {f"{a} without {b}": ids[a].join(ids[b], key, "left_anti").count() for a, b in pairs}
+    if any(lacks.values()):
+        raise ValueError(", ".join(f"{n} {what}" for what, n in lacks.items() if n))
+    return ids["text"]
+
+
 def quotas(sizes: DataFrame, key: str, n: int) -> DataFrame:
     """(key, quota): shares of ``n`` for groups (key, size): at least one each, rounded half to even, then fitted to the sum.
 

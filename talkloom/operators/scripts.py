@@ -288,6 +288,17 @@ def spoken_words(words: DataFrame, places: DataFrame) -> DataFrame:
     return j.select("script_id", "turn_no", "idx", "speaker", "word", at("start_s").alias("start_ms"), at("end_s").alias("end_ms"))
 
 
+def calm(emotion: Column, intensity: Column) -> Column:
+    """Whether a turn is calm: neutral or without emotion, or without intensity."""
+    return emotion.isNull() | (emotion == "neutral") | (F.coalesce(intensity, F.lit(0)) == 0)
+
+
+def unlabelled(turns: DataFrame) -> DataFrame:
+    """Turns without the labels (emotion, intensity, trigger) that only the passenger's turns may have."""
+    crew = F.coalesce(F.col("speaker") == "crew", F.lit(False))
+    return turns.withColumns({c: F.when(~crew, F.col(c)) for c in ("emotion", "intensity", "trigger") if c in turns.columns})
+
+
 def emotion_changes(turns: DataFrame) -> DataFrame:
     """(script_id, turn_no) of the passenger's turns whose emotion or intensity is another than in the passenger's turn before, although no trigger is given."""
     rows = turns.where(F.col("speaker") == "passenger").withColumn("__block", F.floor(F.col("turn_no") / BLOCK)).withColumn("__now", F.struct("emotion", "intensity"))

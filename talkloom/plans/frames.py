@@ -71,12 +71,16 @@ def r10_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def r14_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Training rows: main streams, delays, chunks, least length, labels, and the prompt's mask in the first chunk."""
-    r = _rows(spark, folder).select("dialogue_id", "part", arrays.delayed(arrays.main_streams(F.col("own"), F.col("other")), DELAYS + DELAYS[1:], INITIAL + INITIAL[1:], PAD + PAD[1:]).alias("d"))
-    r = r.select("dialogue_id", "part", "d", F.posexplode(arrays.chunk_bounds(F.size(F.get("d", F.lit(0))), 100)).alias("chunk", "b")).where(F.col("b.size") >= 20)
+    """Training rows: main streams, delays, chunks, least length, labels, the prompt's mask in the first chunk, and the events on the delayed timeline of each chunk."""
+    d = arrays.delayed(arrays.main_streams(F.col("own"), F.col("other")), DELAYS + DELAYS[1:], INITIAL + INITIAL[1:], PAD + PAD[1:])
+    r = _rows(spark, folder).select("dialogue_id", "part", d.alias("d"), "events")
+    n = F.size(F.get("d", F.lit(0)))
+    r = r.withColumn("events", arrays.sorted_events(arrays.shifted_events(F.col("events"), 1 + DELAYS[0], n, ["pos", "tokens"])))
+    r = r.select("dialogue_id", "part", "d", "events", F.posexplode(arrays.chunk_bounds(n, 100)).alias("chunk", "b")).where(F.col("b.size") >= 20)
     r = r.withColumn("x", arrays.stream_chunk(F.col("d"), F.col("b")))
     y = arrays.masked_prompt(arrays.labels(F.col("x"), INITIAL + INITIAL[1:], ZERO), DELAYS + DELAYS[1:], 4, ZERO)
-    return r.select("dialogue_id", "part", "chunk", F.col("b.size").alias("n_frames"), F.md5(_flat(F.col("x"))).alias("inputs"), F.md5(_flat(y)).alias("targets"))
+    e = arrays.chunk_events(F.col("events"), F.col("b"), ["pos", "tokens"])
+    return r.select("dialogue_id", "part", "chunk", F.col("b.size").alias("n_frames"), F.md5(_flat(F.col("x"))).alias("inputs"), F.md5(_flat(y)).alias("targets"), _joined(F.transform(e, lambda x: x["pos"])).alias("event_frames"), _flat(F.transform(e, lambda x: x["tokens"])).alias("event_tokens"))
 
 
 def r15_prompted(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,18 +90,22 @@ def r15_prompted(spark: SparkSession, folder: str) -> DataFrame:
     own, other = arrays.prompt_prefix(voice, F.array(F.lit(5), F.lit(6), F.lit(7)), 3)
     r = r.withColumn("p", own).withColumn("q", other)
     r = r.withColumn("a", arrays.prompted(F.col("own"), F.col("p"), 120, 20)).withColumn("b", arrays.prompted(F.col("other"), F.col("q"), 120, 20)).where("a is not null")
-    return r.select("dialogue_id", "part", F.size(F.get("p", F.lit(0))).alias("prompt_frames"), F.size(F.get("a", F.lit(0))).alias("n_frames"), F.md5(_flat(F.col("a"))).alias("own_md5"), F.md5(_flat(F.col("b"))).alias("other_md5"))
+    p, n = F.size(F.get("p", F.lit(0))), F.size(F.get("a", F.lit(0)))
+    e = arrays.prompted_events(F.col("events"), 16, n - p, p, ["pos", "tokens"])
+    return r.select("dialogue_id", "part", p.alias("prompt_frames"), n.alias("n_frames"), F.md5(_flat(F.col("a"))).alias("own_md5"), F.md5(_flat(F.col("b"))).alias("other_md5"), _joined(F.transform(e, lambda x: x["pos"])).alias("event_frames"))
 
 
 def r18_shifted(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream moved right by three and left by two frames."""
-    return _rows(spark, folder).select("dialogue_id", "part", _joined(arrays.shifted(F.col("tok"), 3, 0)).alias("right_3"), _joined(arrays.shifted(F.col("tok"), -2, 0)).alias("left_2"))
+    """A stream moved right by three and left by two frames, and left by up to 150, but not out of itself."""
+    return _rows(spark, folder).select("dialogue_id", "part", _joined(arrays.shifted(F.col("tok"), 3, 0)).alias("right_3"), _joined(arrays.shifted(F.col("tok"), -2, 0)).alias("left_2"), _joined(arrays.shift_within(F.col("tok"), -150, 0)).alias("left_most"))
 
 
 def r17_event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Events written onto one stream, later ones over earlier ones."""
-    x = arrays.frames_of_events(F.col("events"), F.size("tok"), 0, 99)
-    return _rows(spark, folder).select("dialogue_id", "part", _joined(x).alias("stream"))
+    """Events written onto one stream, later ones over earlier ones: predictions, or the hint where it is complete; and hints only."""
+    hint = F.transform(F.col("events"), lambda e: F.struct(e["pos"].alias("pos"), F.when(e["pos"] % 2 == 0, 1.0).otherwise(0.5).alias("ratio"), F.lit(0).alias("skip_forbid"), e["tokens"].alias("pred"), F.filter(e["tokens"], lambda x: x > 3).alias("hint")))
+    r = _rows(spark, folder).withColumn("ev", hint)
+    stream = lambda only: _joined(arrays.frames_of_events(arrays.chosen_events(F.col("ev"), F.size("tok"), only), F.size("tok"), 0, 99))
+    return r.select("dialogue_id", "part", stream(False).alias("stream"), stream(True).alias("hints"))
 
 
 def r20_batches(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,6 +138,10 @@ _D9, _D17 = str(DELAYS), str(DELAYS + DELAYS[1:])
 _CHUNKS = """unnest(list_transform(range(CAST(ceil({n} / {m}) AS BIGINT)), lambda c: {{'chunk': c, 'first': c * ({n} // CAST(ceil({n} / {m}) AS BIGINT)) + least(c, {n} % CAST(ceil({n} / {m}) AS BIGINT)),
   'size': {n} // CAST(ceil({n} / {m}) AS BIGINT) + CASE WHEN c < {n} % CAST(ceil({n} / {m}) AS BIGINT) THEN 1 ELSE 0 END}}))"""
 
+_HT = "list_filter(tok[j + 1:j + 3], lambda v: v > 3)"
+_TK = f"CASE WHEN j % 2 = 0 AND len({_HT}) > 0 THEN {_HT} ELSE tok[j + 1:j + 3] END"
+_STREAM = "list_transform(range(n), lambda f: coalesce(list_transform(list_filter({ev}, lambda j: j <= f AND f <= j + len({tk})), lambda j: CASE WHEN f = j THEN 99 ELSE ({tk})[f - j] END)[-1], 0))"
+
 SQL = {
     "r1_pack": f"""WITH {_ROWS}
 SELECT dialogue_id, part, {_J.format('tok')} AS packed, {_J.format('list_transform(range(len(lists) + 1), lambda i: least(i * 5, n))')} AS offsets, {_J.format('lists[2]')} AS second,
@@ -141,9 +153,9 @@ SELECT dialogue_id, part, {_J.format('list_transform(k, lambda j: j + 1)')} AS p
     "r10_chunks": f"""WITH {_ROWS}, c AS (SELECT *, {_CHUNKS.format(n='n', m=64)} AS b FROM r)
 SELECT dialogue_id, part, CAST(b.chunk AS INT) AS chunk, CAST(b.first AS INT) AS first, CAST(b.size AS INT) AS n_frames, {_J.format('tok[b.first + 1:b.first + b.size]')} AS text,
   {_J.format('list_transform(list_filter(ev, lambda j: j >= b.first AND j < b.first + b.size), lambda j: j - b.first)')} AS event_frames FROM c""",
-    "r14_features": f"""WITH {_ROWS}, d AS (SELECT dialogue_id, part, n + 2 AS t, {_DELAY.format('list_concat(own, other[2:9])', _D17)} AS d FROM r), c AS (SELECT *, {_CHUNKS.format(n='t', m=100)} AS b FROM d),
-x AS (SELECT dialogue_id, part, b, list_transform(d, lambda s: s[b.first + 1:b.first + b.size]) AS x FROM c WHERE b.size >= 20)
-SELECT dialogue_id, part, CAST(b.chunk AS INT) AS chunk, CAST(b.size AS INT) AS n_frames, md5({_J.format('flatten(x)')}) AS inputs,
+    "r14_features": f"""WITH {_ROWS}, d AS (SELECT dialogue_id, part, ev, tok, n + 2 AS t, {_DELAY.format('list_concat(own, other[2:9])', _D17)} AS d FROM r), c AS (SELECT *, {_CHUNKS.format(n='t', m=100)} AS b FROM d),
+x AS (SELECT dialogue_id, part, b, list_transform(d, lambda s: s[b.first + 1:b.first + b.size]) AS x, list_filter(ev, lambda j: j + 1 >= b.first AND j + 1 < b.first + b.size) AS je, tok FROM c WHERE b.size >= 20)
+SELECT dialogue_id, part, {_J.format('list_transform(je, lambda j: j + 1 - b.first)')} AS event_frames, {_J.format('flatten(list_transform(je, lambda j: tok[j + 1:j + 3]))')} AS event_tokens, CAST(b.chunk AS INT) AS chunk, CAST(b.size AS INT) AS n_frames, md5({_J.format('flatten(x)')}) AS inputs,
   md5({_J.format('flatten(list_transform(x, lambda s, k: list_transform(s, lambda v, j: CASE WHEN j - 1 < 5 + ' + _D17 + '[k] OR v >= 90 THEN -1 ELSE v END)))')}) AS targets FROM x""",
     "r15_prompted": f"""WITH {_ROWS},
 v AS (SELECT *, list_transform(own[2:9], lambda s: s[2:11]) AS voice, least(n, 11) - 1 AS nv FROM r),
@@ -152,10 +164,10 @@ p AS (SELECT *, nv + 15 AS np, least(n, 120 - nv - 15) AS keep,
     list_transform(voice, lambda s, k: list_concat(s, list_transform(range(15), lambda i: ({arrays.SILENCE})[k])))) AS p,
   list_concat([list_transform(range(nv + 15), lambda i: 3)], list_transform({arrays.SINE}, lambda c: list_transform(range(nv + 15), lambda i: c))) AS q FROM v)
 SELECT dialogue_id, part, CAST(np AS INT) AS prompt_frames, CAST(np + keep AS INT) AS n_frames,
-  md5({_J.format('flatten(list_transform(own, lambda s, k: list_concat(p[k], s[1:keep])))')}) AS own_md5, md5({_J.format('flatten(list_transform(other, lambda s, k: list_concat(q[k], s[1:keep])))')}) AS other_md5
-FROM p WHERE keep >= 20""",
-    "r17_event_stream": f"""WITH {_ROWS} SELECT dialogue_id, part, {_J.format('''list_transform(range(n), lambda f: coalesce(list_transform(list_filter(ev, lambda j: j <= f AND f <= j + len(tok[j + 1:j + 3])), lambda j: CASE WHEN f = j THEN 99 ELSE tok[f] END)[-1], 0))''')} AS stream FROM r""",
-    "r18_shifted": f"""WITH {_ROWS} SELECT dialogue_id, part, {_J.format('list_concat(list_transform(range(least(3, n)), lambda i: 0), tok[1:greatest(n - 3, 0)])')} AS right_3,
+  md5({_J.format('flatten(list_transform(own, lambda s, k: list_concat(p[k], s[1:keep])))')}) AS own_md5, md5({_J.format('flatten(list_transform(other, lambda s, k: list_concat(q[k], s[1:keep])))')}) AS other_md5,
+  {_J.format('list_transform(list_filter(ev, lambda j: j >= 16 AND j < keep), lambda j: j + np)')} AS event_frames FROM p WHERE keep >= 20""",
+    "r17_event_stream": f"""WITH {_ROWS} SELECT dialogue_id, part, {_J.format(_STREAM.format(ev="list_filter(ev, lambda j: len(" + _TK + ") > 0)", tk=_TK))} AS stream, {_J.format(_STREAM.format(ev="list_filter(ev, lambda j: len(" + _HT + ") > 0)", tk=_HT))} AS hints FROM r""",
+    "r18_shifted": f"""WITH {_ROWS} SELECT dialogue_id, part, {_J.format('list_concat(list_transform(range(least(3, n)), lambda i: 0), tok[1:greatest(n - 3, 0)])')} AS right_3, {_J.format('CASE WHEN n <= 1 THEN tok ELSE list_concat(tok[least(150, n - 1) + 1:], list_transform(range(least(150, n - 1)), lambda i: 0)) END')} AS left_most,
   {_J.format('list_concat(tok[3:], list_transform(range(least(2, n)), lambda i: 0))')} AS left_2 FROM r""",
     "r20_batches": f"""WITH {_ROWS}, b AS (SELECT *, CAST(part // 4 AS BIGINT) AS batch, max(n) OVER (PARTITION BY dialogue_id, part // 4) AS longest FROM r)
 SELECT dialogue_id, part, batch, CAST(longest AS INT) AS longest, CAST(n AS INT) AS n_frames, md5({_J.format('flatten(list_transform(own, lambda s: list_concat(s, list_transform(range(longest - n), lambda i: 0))))')}) AS md5 FROM b""",

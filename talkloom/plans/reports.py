@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkloom.functions import arrays
-from talkloom.operators import reports
+from talkloom.operators import intervals, reports
 from talkloom.plans.text import EVENTS_SQL, _events
 from talkloom.sources import files
 from talkloom.sources.tables import table
@@ -86,8 +86,10 @@ def a7_p10(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def a8_p10(spark: SparkSession, folder: str) -> DataFrame:
-    """Per bucket the similarity at place n // 10."""
-    return reports.order_stat(_sims(spark, folder), ["bucket"], "sim", F.floor(F.col("n") / 10))
+    """Per bucket the similarity at place n // 10, and how many are below 0.78."""
+    s = _sims(spark, folder)
+    low = s.groupBy("bucket").agg(F.count_if(F.col("sim") < 780).alias("n_below"))
+    return reports.order_stat(s, ["bucket"], "sim", F.floor(F.col("n") / 10)).join(low, "bucket")
 
 
 def a9_median(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,10 +160,65 @@ def j1_complete(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def j2_missing(spark: SparkSession, folder: str) -> DataFrame:
-    """Dialogues without words, and without events, that have documents."""
-    d = _ids(spark, folder, "documents")
-    parts = [d.join(_ids(spark, folder, t), "dialogue_id", "left_anti").select("dialogue_id", F.lit(t).alias("missing")) for t in ("words", "oracle_raw")]
-    return parts[0].unionByName(parts[1])
+    """Dialogues without words, without events and without documents, and the other way round ids that no dialogue has."""
+    d = _ids(spark, folder, "dialogues")
+    out = None
+    for t in ("words", "oracle_raw", "documents", "raw_words"):
+        for left, right, what in ((d, _ids(spark, folder, t), f"no {t}"), (_ids(spark, folder, t), d, f"only {t}")):
+            one = left.join(right, "dialogue_id", "left_anti").select("dialogue_id", F.lit(what).alias("missing"))
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _status(spark: SparkSession, folder: str) -> DataFrame:
+    d = table(spark, folder, "dialogues").select("dialogue_id", "category")
+    return reports.first_match(d, "dialogue_id", {n: _ids(spark, folder, t) for n, t in (("evented", "oracle_raw"), ("aligned", "words"), ("raw", "raw_words"), ("text only", "documents"))}, "nothing")
+
+
+def j4_status(spark: SparkSession, folder: str) -> DataFrame:
+    """The status of every dialogue: the first of four tables that has it."""
+    return _status(spark, folder).select("dialogue_id", "status")
+
+
+def a1_funnel(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and percentage of dialogues by status, all statuses in their order, '-' without dialogues."""
+    return reports.funnel(_status(spark, folder), "status", ["evented", "aligned", "raw", "text only", "nothing"])
+
+
+def a14_lenient(spark: SparkSession, folder: str) -> DataFrame:
+    """The first strict threshold that a dialogue breaks, where dialogues without scores pass; of 60 dialogues, ten without."""
+    a, b, c = GRID[0]
+    m = spark.range(60).select(F.col("id").alias("dialogue")).join(_metrics(spark, folder), "dialogue", "left")
+    rule = F.when(F.col("n").isNull(), "passes").when(F.col("least") < a, "least").when(F.col("spread") > b, "spread").when(F.col("drop") > c, "drop").otherwise("passes")
+    return m.select("dialogue", rule.alias("rule"))
+
+
+def a15_skipping(spark: SparkSession, folder: str) -> DataFrame:
+    """How many dialogues pass under each row of the grid if rows of bucket 3 (short turns) are skipped, or not; dialogues without rows left pass."""
+    s, calm = _sims(spark, folder), F.col("bucket") == 0
+    s = s.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("skipping"))
+    kept = lambda x: F.when(~F.col("skipping") | (F.col("bucket") != 3), x)
+    mean = lambda c: F.floor(F.sum(kept(F.when(c, F.col("sim")))) / F.count(kept(F.when(c, F.col("sim")))))
+    sim = kept(F.col("sim"))
+    m = s.groupBy("dialogue", "skipping").agg(F.min(sim).alias("least"), (F.max(sim) - F.min(sim)).alias("spread"), F.coalesce(mean(calm) - mean(~calm), F.lit(0)).alias("drop"))
+    grid = F.array(*[F.struct(F.lit(i).alias("row"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for i, (a, b, c) in enumerate(GRID)])
+    m = m.select("*", F.explode(grid).alias("g"))
+    ok = F.col("least").isNull() | ((F.col("least") >= F.col("g.a")) & (F.col("spread") <= F.col("g.b")) & (F.col("drop") <= F.col("g.c")))
+    return m.groupBy(F.col("g.row").alias("grid_row"), "skipping").agg(F.count_if(ok).alias("n_passed"), F.count(F.lit(1)).alias("n"))
+
+
+def pred_speakers(spark: SparkSession, folder: str) -> DataFrame:
+    """Dialogues in which a speaker has no usable word, or a channel no event."""
+    w = intervals.usable_speech(table(spark, folder, "words")).select("dialogue_id", "speaker")
+    e = _events(spark, folder).where(F.col("channel").isin(0, 1)).select("dialogue_id", F.col("channel").cast("string").alias("speaker"))
+    one = lambda d, both, kind: reports.missing_values(d, "dialogue_id", "speaker", both).withColumn("kind", F.lit(kind))
+    return one(w, ["A", "B"], "words").unionByName(one(e, ["0", "1"], "events"))
+
+
+def pred_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Dialogues in the order of their ids dealt to seven workers by place."""
+    r = files.ranked(table(spark, folder, "dialogues").select("dialogue_id"))
+    return r.select("dialogue_id", (F.col("place") % 7).alias("worker"))
 
 
 def j5_tiers(spark: SparkSession, folder: str) -> DataFrame:
@@ -241,7 +298,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         a2_corpus, a3_crosstab, a4_breakdown, a5_voices, a6_worst, a7_p10, a8_p10, a9_median, a12_metrics, a13_violations, a16_thresholds, a22_languages, a24_means, ev_breakdown, io10_shards,
-        j1_complete, j2_missing, j5_tiers, j6_map_lookup, j10_nearest, j12_what_if, j13_medoids, j14_differences, k5_quota, k6_sample, k7_choice, pred_drops, u2_sets,
+        j1_complete, j2_missing, j5_tiers, j6_map_lookup, j10_nearest, j12_what_if, j13_medoids, j14_differences, k5_quota, k6_sample, k7_choice, pred_drops, u2_sets, j4_status, a1_funnel, a14_lenient, a15_skipping, pred_speakers, pred_index,
     )
 }
 
@@ -256,6 +313,8 @@ mt AS (SELECT dialogue, count(*) AS n, min(sim) AS least, max(sim) - min(sim) AS
   CAST(coalesce(floor(sum(sim) FILTER (WHERE bucket = 0) / count(*) FILTER (WHERE bucket = 0)) - floor(sum(sim) FILTER (WHERE bucket <> 0) / count(*) FILTER (WHERE bucket <> 0)), 0) AS BIGINT) AS drop,
   arg_min(vec_id, (sim, vec_id)) AS worst FROM si GROUP BY dialogue)"""
 _STAT = "WITH {s}, o AS (SELECT {k}, sim, row_number() OVER (PARTITION BY {k} ORDER BY sim) AS r, count(*) OVER (PARTITION BY {k}) AS n FROM si) SELECT {k}, n, sim AS stat FROM o WHERE r = {at} + 1"
+_IN = "dialogue_id IN (SELECT dialogue_id FROM {} WHERE dialogue_id IS NOT NULL)"
+_STATUS = f"CASE WHEN {_IN.format('oracle_raw')} THEN 'evented' WHEN {_IN.format('words')} THEN 'aligned' WHEN {_IN.format('raw_words')} THEN 'raw' WHEN {_IN.format('documents')} THEN 'text only' ELSE 'nothing' END"
 _KEYS = ("lang", "stage", "category", "passenger_voice_id", "crew_voice_id")
 
 SQL = {
@@ -265,7 +324,7 @@ SQL = {
     "a5_voices": f"WITH {_SIMS} SELECT label, count(*) FILTER (WHERE bucket = 0) AS n_calm, CAST(sum(sim) FILTER (WHERE bucket = 0) AS BIGINT) AS calm_sum, count(*) FILTER (WHERE bucket <> 0) AS n_other, CAST(sum(sim) FILTER (WHERE bucket <> 0) AS BIGINT) AS other_sum FROM si GROUP BY label",
     "a6_worst": f"WITH {_SIMS}, o AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY sim, vec_id) AS rank, vec_id, sim FROM si) SELECT * FROM o WHERE rank <= 3",
     "a7_p10": _STAT.format(s=_SIMS, k="label", at="greatest(0, n // 10 - 1)"),
-    "a8_p10": _STAT.format(s=_SIMS, k="bucket", at="n // 10"),
+    "a8_p10": f"SELECT p.*, n_below FROM ({_STAT.format(s=_SIMS, k='bucket', at='n // 10')}) p JOIN (WITH {_SIMS} SELECT bucket, count(*) FILTER (WHERE sim < 780) AS n_below FROM si GROUP BY 1) b USING (bucket)",
     "a9_median": _STAT.format(s=_SIMS, k="label", at="n // 2"),
     "a12_metrics": f"WITH {_MET} SELECT * FROM mt",
     "a13_violations": f"WITH {_MET} SELECT CASE WHEN least < 780 THEN 'least' WHEN spread > 120 THEN 'spread' WHEN drop > 60 THEN 'drop' ELSE 'none' END AS rule, count(*) AS n FROM mt GROUP BY 1",
@@ -277,7 +336,17 @@ SELECT label, count(*) FILTER (WHERE least >= 780 AND spread <= 120) AS strict,
     "ev_breakdown": "SELECT user_id % 10 AS user_group, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY ALL",
     "io10_shards": "SELECT dialogue_id, (row_number() OVER (ORDER BY dialogue_id) - 1) // 100 AS shard FROM dialogues",
     "j1_complete": "SELECT dialogue_id, lang FROM dialogues WHERE dialogue_id IN (SELECT dialogue_id FROM words) AND dialogue_id IN (SELECT dialogue_id FROM oracle_raw) AND dialogue_id IN (SELECT dialogue_id FROM documents)",
-    "j2_missing": "SELECT DISTINCT dialogue_id, 'words' AS missing FROM documents WHERE dialogue_id IS NOT NULL AND dialogue_id NOT IN (SELECT dialogue_id FROM words) UNION ALL SELECT DISTINCT dialogue_id, 'oracle_raw' FROM documents WHERE dialogue_id IS NOT NULL AND dialogue_id NOT IN (SELECT dialogue_id FROM oracle_raw)",
+    "j2_missing": " UNION ALL ".join(f"SELECT DISTINCT dialogue_id, 'no {t}' AS missing FROM dialogues WHERE dialogue_id NOT IN (SELECT dialogue_id FROM {t} WHERE dialogue_id IS NOT NULL) UNION ALL SELECT DISTINCT dialogue_id, 'only {t}' FROM {t} WHERE dialogue_id IS NOT NULL AND dialogue_id NOT IN (SELECT dialogue_id FROM dialogues)" for t in ("words", "oracle_raw", "documents", "raw_words")),
+    "j4_status": f"SELECT dialogue_id, {_STATUS} AS status FROM dialogues",
+    "a1_funnel": f"""WITH s AS (SELECT {_STATUS} AS status FROM dialogues), l AS (SELECT unnest(['evented', 'aligned', 'raw', 'text only', 'nothing']) AS status, unnest(range(5)) AS place)
+SELECT CAST(place AS INT) AS place, l.status, count(s.status) AS n, CASE WHEN (SELECT count(*) FROM s) = 0 THEN '-' ELSE CAST(CAST(round_even(100 * count(s.status) / (SELECT count(*) FROM s), 0) AS INT) AS VARCHAR) || '%' END AS share FROM l LEFT JOIN s USING (status) GROUP BY ALL""",
+    "a14_lenient": f"WITH {_MET}, d AS (SELECT unnest(range(60)) AS dialogue) SELECT dialogue, CASE WHEN n IS NULL THEN 'passes' WHEN least < 780 THEN 'least' WHEN spread > 120 THEN 'spread' WHEN drop > 60 THEN 'drop' ELSE 'passes' END AS rule FROM d LEFT JOIN mt USING (dialogue)",
+    "a15_skipping": " UNION ALL ".join(f"""SELECT {i} AS grid_row, {k} AS skipping, count(*) FILTER (WHERE least IS NULL OR (least >= {a} AND spread <= {b} AND drop <= {c})) AS n_passed, count(*) AS n FROM (WITH {_SIMS} SELECT dialogue, min(sim) FILTER (WHERE {w}) AS least, max(sim) FILTER (WHERE {w}) - min(sim) FILTER (WHERE {w}) AS spread,
+  coalesce(floor(sum(sim) FILTER (WHERE bucket = 0) / count(*) FILTER (WHERE bucket = 0)) - floor(sum(sim) FILTER (WHERE bucket <> 0 AND {w}) / nullif(count(*) FILTER (WHERE bucket <> 0 AND {w}), 0)), 0) AS drop FROM si GROUP BY dialogue)""" for i, (a, b, c) in enumerate(GRID) for k, w in (("false", "true"), ("true", "bucket <> 3"))),
+    "pred_speakers": f"""WITH {EVENTS_SQL}, w AS (SELECT dialogue_id, speaker FROM words WHERE speaker IN ('A', 'B') AND "start" IS NOT NULL AND "end" IS NOT NULL AND NOT isnan("start") AND NOT isnan("end") AND "end" >= "start"),
+x AS (SELECT 'words' AS kind, dialogue_id, speaker FROM w UNION ALL SELECT 'events', dialogue_id, CAST(channel AS VARCHAR) FROM e WHERE channel IN (0, 1))
+SELECT kind, dialogue_id, CASE min(speaker) WHEN 'A' THEN 'B' WHEN 'B' THEN 'A' WHEN '0' THEN '1' ELSE '0' END AS missing FROM x GROUP BY ALL HAVING count(DISTINCT speaker) = 1""",
+    "pred_index": "SELECT dialogue_id, (row_number() OVER (ORDER BY dialogue_id) - 1) % 7 AS worker FROM dialogues",
     "j5_tiers": "WITH d AS (SELECT unnest([passenger_voice_id, crew_voice_id]) AS voice_id FROM dialogues) SELECT coalesce(tier, '?') AS tier, coalesce(voice_role, '?') AS role, count(*) AS n FROM d LEFT JOIN voices USING (voice_id) GROUP BY ALL",
     "j6_map_lookup": f"""WITH {EVENTS_SQL}, p AS (SELECT DISTINCT dialogue_id, CAST(event_idx // 64 AS BIGINT) AS part FROM e WHERE channel IS NOT NULL), k AS (SELECT *, CAST(unnest(range(0, 61, 10)) AS INT) AS k FROM p)
 SELECT k.dialogue_id, part, k, channel FROM k LEFT JOIN e ON e.dialogue_id = k.dialogue_id AND e.event_idx = part * 64 + k AND channel IS NOT NULL""",

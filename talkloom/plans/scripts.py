@@ -70,6 +70,27 @@ def n11_changes(spark: SparkSession, folder: str) -> DataFrame:
     return scripts.emotion_changes(_turns(_turn_words(spark, folder))).groupBy("script_id").agg(F.count(F.lit(1)).alias("n"), F.sum("turn_no").alias("places"))
 
 
+def a20_scripts(spark: SparkSession, folder: str) -> DataFrame:
+    """Value counts of the passenger's turns by emotion and intensity, backchannels aside, with words per turn in hundredths."""
+    t = _turns(_turn_words(spark, folder)).where("speaker = 'passenger' and not backchannel")
+    words = F.size(F.split(F.trim("text"), r"\s+"))
+    return t.groupBy(F.concat_ws("_", "emotion", F.coalesce(F.col("intensity").cast("string"), F.lit("None"))).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.floor(F.sum(words) * 100 / F.count(F.lit(1))).alias("words_100"))
+
+
+def a21_peaks(spark: SparkSession, folder: str) -> DataFrame:
+    """The passenger's peak intensity in every script, 0 without one, and the number of calm turns: neutral, or without emotion or intensity."""
+    t, person = _turns(_turn_words(spark, folder)), F.col("speaker") == "passenger"
+    level = F.coalesce("intensity", F.lit(0))
+    return t.groupBy("script_id").agg(F.coalesce(F.max(F.when(person, level)), F.lit(0)).alias("peak"), F.count_if(person & scripts.calm(F.col("emotion"), F.col("intensity"))).alias("n_calm"))
+
+
+def f31_assembled(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns as records of a script: labels of emotion only for the passenger; number of records by what they hold."""
+    t = scripts.unlabelled(_turns(_turn_words(spark, folder)))
+    has = lambda c: F.when(F.col(c).isNotNull(), c)
+    return t.groupBy("speaker", F.concat_ws(",", has("emotion"), has("intensity"), has("trigger")).alias("fields")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def o4_placed(spark: SparkSession, folder: str) -> DataFrame:
     """Scripts placed on two channels: number of turns and cuts, the latest end, and the sums of starts and ends."""
     p = scripts.placed(_turns(_turn_words(spark, folder)))
@@ -100,7 +121,7 @@ def f12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return cleaner.conversation_lines(c)
 
 
-QUERIES = {f.__name__: f for f in (pred_turn_errors, pred_clips, f29_repaired, f30_overlaps, n11_changes, o4_placed, o5_words, f15_cleaned, f12_conversations)}
+QUERIES = {f.__name__: f for f in (pred_turn_errors, pred_clips, f29_repaired, f30_overlaps, n11_changes, a20_scripts, a21_peaks, f31_assembled, o4_placed, o5_words, f15_cleaned, f12_conversations)}
 
 _SCRIPT = f"""{WORDS_SQL}, {_TURNS},
 tl AS (SELECT *, max(end_ms) OVER (PARTITION BY dialogue_id ORDER BY turn_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM t),
@@ -127,6 +148,11 @@ e AS (SELECT script_id, unnest(list_filter([CASE WHEN trim(text) = '' THEN 'empt
 SELECT script_id, error, count(*) AS n FROM e GROUP BY ALL""",
     "pred_clips": f"""WITH {_SCRIPT}, q AS (SELECT *, len(regexp_extract_all(text, '[^\\s]*\\p{{L}}[^\\s]*')) AS n, len(string_split(text, ' ')) AS al FROM s)
 SELECT CASE WHEN n = 0 THEN 'no words' WHEN al < 0.9 * n THEN 'words missing' WHEN dur > 1.2::DOUBLE + n THEN 'too long' WHEN bc THEN 'none' WHEN (turn_no % 10) / 10 < 0.35 THEN 'low score' ELSE 'none' END AS problem, count(*) AS n FROM q GROUP BY 1""",
+    "a20_scripts": f"""WITH {_SCRIPT} SELECT emotion || '_' || coalesce(CAST(intensity AS VARCHAR), 'None') AS value, count(*) AS n, CAST(floor(sum(len(regexp_split_to_array(trim(text), '\\s+'))) * 100 / count(*)) AS BIGINT) AS words_100
+FROM s WHERE speaker = 'passenger' AND NOT bc GROUP BY 1""",
+    "a21_peaks": f"""WITH {_SCRIPT} SELECT script_id, CAST(coalesce(max(coalesce(intensity, 0)) FILTER (WHERE speaker = 'passenger'), 0) AS INT) AS peak,
+  count(*) FILTER (WHERE speaker = 'passenger' AND (emotion = 'neutral' OR coalesce(intensity, 0) = 0)) AS n_calm FROM s GROUP BY 1""",
+    "f31_assembled": f"""WITH {_SCRIPT} SELECT speaker, CASE WHEN speaker = 'crew' THEN '' ELSE concat_ws(',', 'emotion', CASE WHEN intensity IS NOT NULL THEN 'intensity' END, CASE WHEN NOT quiet THEN 'trigger' END) END AS fields, count(*) AS n FROM s GROUP BY ALL""",
     "n11_changes": f"""WITH {_SCRIPT}, p AS (SELECT *, lag(struct_pack(e := emotion, i := intensity)) OVER (PARTITION BY script_id ORDER BY turn_no) AS was FROM s WHERE speaker = 'passenger')
 SELECT script_id, count(*) AS n, CAST(sum(turn_no) AS BIGINT) AS places FROM p WHERE was IS NOT NULL AND (was.e IS DISTINCT FROM emotion OR was.i IS DISTINCT FROM intensity) AND quiet GROUP BY 1""",
     "f29_repaired": f"""WITH RECURSIVE {_SCRIPT}, {_ORDERED},

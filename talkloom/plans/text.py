@@ -14,13 +14,13 @@ KEY = ["dialogue_id", "event_idx"]
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     """Events once per key, in the latest delivery; combined before the shuffle."""
     cols = ["prediction", "hint", "current_spoken_ratio", "conversation_context", "channel", "timestamp_ms"]
-    v = F.max_by(F.struct(*cols), F.struct("loaded_at", "load_id", F.coalesce("hint", F.lit(""))))
+    v = F.max_by(F.struct(*cols), F.struct("loaded_at", "load_id", F.coalesce("hint", F.lit("")), *[F.coalesce(c, F.lit(z)) for c, z in (("current_spoken_ratio", -1.0), ("channel", -1), ("prediction", ""), ("timestamp_ms", -1))]))
     return table(spark, folder, "oracle_raw").groupBy(*KEY).agg(v.alias("v")).select(*KEY, "v.*")
 
 
 EVENTS_SQL = """
 e AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dialogue_id, event_idx ORDER BY loaded_at DESC, load_id DESC, coalesce(hint, '') DESC) AS rn FROM oracle_raw) WHERE rn = 1
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dialogue_id, event_idx ORDER BY loaded_at DESC, load_id DESC, coalesce(hint, '') DESC, coalesce(current_spoken_ratio, -1) DESC, coalesce(channel, -1) DESC, coalesce(prediction, '') DESC, coalesce(timestamp_ms, -1) DESC) AS rn FROM oracle_raw) WHERE rn = 1
 )"""
 _SPACE = text.SPACE
 _CREW = f"trim(regexp_replace(regexp_replace(lower({{0}}), '[^\\p{{{{L}}}}\\p{{{{N}}}}_''{_SPACE.replace('{', '{{').replace('}', '}}')}]', ' ', 'g'), '[{_SPACE.replace('{', '{{').replace('}', '}}')}]+', ' ', 'g'))"
@@ -68,10 +68,18 @@ def f16_spoken(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def f17_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    """Numbers of one or two digits in documents, in words and digit by digit, with their frequency."""
-    d = table(spark, folder, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\b[0-9]{1,2}\b"), F.lit(0))).alias("number"))
-    d = d.groupBy("number").agg(F.count(F.lit(1)).alias("n"))
-    return d.select("number", "n", text.small_number(F.col("number").cast("int")).alias("cardinal"), text.digit_words(F.col("number")).alias("digits"))
+    """Numbers in documents, and their products with 1,009 below a million, in words and digit by digit, with their frequency."""
+    d = table(spark, folder, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\b[0-9]{1,5}\b"), F.lit(0))).alias("number"))
+    d = d.groupBy("number").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.col("number").cast("int"))
+    return d.select("number", "n", text.number_words(F.col("k")).alias("cardinal"), text.number_words(F.col("k") * 1009 % 1_000_000).alias("large"), text.digit_words(F.col("number")).alias("digits"))
+
+
+def f21_voices(spark: SparkSession, folder: str) -> DataFrame:
+    """Voices with gender, origin and tier told from a description, which is made of id and role."""
+    v = table(spark, folder, "voices")
+    n = F.regexp_extract("voice_id", "([0-9]+)", 1).cast("int")
+    d = F.concat(F.when(n % 2 == 0, "Female, ").otherwise("Man, "), F.get(F.array(*[F.lit(x) for x in ("British", "Canadian American", "French", "Australian")]), n % 4), F.lit(" "), F.col("voice_role"))
+    return v.select("voice_id", text.voice_fields(d, F.when(n % 3 > 0, F.col("tier"))).alias("f")).select("voice_id", "f.*")
 
 
 def f18_embedded(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,7 +100,7 @@ def pred_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "f1_word_counts": f1_word_counts, "f3_normal_forms": f3_normal_forms, "f6_reasons": f6_reasons, "f7_contexts": f7_contexts, "f10_prompt_levels": f10_prompt_levels,
-    "f16_spoken": f16_spoken, "f17_numbers": f17_numbers, "f18_embedded": f18_embedded, "pred_lines": pred_lines,
+    "f16_spoken": f16_spoken, "f17_numbers": f17_numbers, "f21_voices": f21_voices, "f18_embedded": f18_embedded, "pred_lines": pred_lines,
 }
 
 _Q = lambda s: s.replace("'", "''")
@@ -128,8 +136,15 @@ SELECT dialogue_id, event_idx, last_line, length(m) AS message_length, md5(m) AS
 FROM e WHERE current_spoken_ratio IS NOT NULL AND NOT isnan(current_spoken_ratio))
 SELECT channel, level, count(*) AS n, count(*) FILTER (WHERE silent) AS n_silent FROM l GROUP BY channel, level""",
     "f17_numbers": f"""
-WITH n AS (SELECT unnest(regexp_extract_all(text, '\\b[0-9]{{1,2}}\\b')) AS number FROM documents), c AS (SELECT number, CAST(number AS INT) AS k, count(*) AS n FROM n GROUP BY ALL)
-SELECT number, n, {_CARD} AS cardinal, array_to_string(list_transform(string_split(number, ''), lambda d: ({_LIST(text.ONES)})[CAST(d AS INT) + 1]), ' ') AS digits FROM c""",
+WITH n AS (SELECT unnest(regexp_extract_all(text, '\\b[0-9]{{1,5}}\\b')) AS number FROM documents), c AS (SELECT number, CAST(number AS INT) AS v, count(*) AS n FROM n GROUP BY ALL),
+w AS (SELECT k, {_CARD} AS w FROM (SELECT unnest(range(100)) AS k)),
+h AS (SELECT x.k, CASE WHEN x.k = 0 THEN '' ELSE trim(CASE WHEN x.k >= 100 THEN ({_LIST(text.ONES)})[x.k // 100 + 1] || ' hundred ' ELSE '' END || CASE WHEN x.k % 100 > 0 THEN w.w ELSE '' END) END AS t FROM (SELECT unnest(range(1000)) AS k) x JOIN w ON w.k = x.k % 100)
+SELECT number, n, CASE WHEN v = 0 THEN 'zero' ELSE trim(CASE WHEN v >= 1000 THEN a.t || ' thousand ' ELSE '' END || b.t) END AS cardinal,
+  CASE WHEN v * 1009 % 1000000 = 0 THEN 'zero' ELSE trim(CASE WHEN v * 1009 % 1000000 >= 1000 THEN y.t || ' thousand ' ELSE '' END || z.t) END AS large,
+  array_to_string(list_transform(string_split(number, ''), lambda q: ({_LIST(text.ONES)})[CAST(q AS INT) + 1]), ' ') AS digits
+FROM c JOIN h a ON a.k = v // 1000 JOIN h b ON b.k = v % 1000 JOIN h y ON y.k = v * 1009 % 1000000 // 1000 JOIN h z ON z.k = v * 1009 % 1000""",
+    "f21_voices": """WITH v AS (SELECT *, CAST(regexp_extract(voice_id, '([0-9]+)', 1) AS INT) AS n FROM voices)
+SELECT voice_id, CASE WHEN n % 2 = 0 THEN 'female' ELSE 'male' END AS gender, (['gb', 'us', 'intl', 'au'])[n % 4 + 1] AS origin, coalesce(CASE WHEN n % 3 > 0 THEN tier END, 'pool') AS tier FROM v""",
     "f18_embedded": f"""
 WITH {EVENTS_SQL}, w AS (SELECT *, {_NWORDS.format('prediction')} AS nw FROM e)
 SELECT dialogue_id, event_idx, event_idx AS i, prediction AS p,

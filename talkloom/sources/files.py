@@ -105,8 +105,8 @@ def wav_durations(spark: SparkSession, folder: str) -> DataFrame:
     return f.select(F.regexp_extract("path", r"([^/]*)[.]wav$", 1).alias("id"), seconds("content").alias("seconds"))
 
 
-def sharded(df: DataFrame, key: str = "dialogue_id", per_file: int = 100_000, tasks: int | None = None) -> DataFrame:
-    """``df`` with ``shard``: rows in the order of ``key`` (nulls first, then of the whole row), ``per_file`` to a shard.
+def ranked(df: DataFrame, key: str = "dialogue_id", tasks: int | None = None) -> DataFrame:
+    """``df`` with ``place``, from 0: rows in the order of ``key`` (nulls first, then of the whole row).
 
     Rows are dealt to ranges of the key with sampled bounds, each range is sorted and counted, and the counts
     of the ranges before it are added; no task sees more than its range. The ranges are written once, so that
@@ -120,7 +120,18 @@ def sharded(df: DataFrame, key: str = "dialogue_id", per_file: int = 100_000, ta
     # One row per task: as many as there are partitions, whatever the number of rows.
     before = counts.select(F.col("__range").alias("__r"), (F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))).alias("__before"))
     place = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1 + F.coalesce("__before", F.lit(0))
-    return ranged.join(before, F.col("__range") == F.col("__r")).withColumn("shard", F.floor(place / per_file)).drop("__range", "__r", "__before")
+    return ranged.join(before, F.col("__range") == F.col("__r")).withColumn("place", place.cast("bigint")).drop("__range", "__r", "__before")
+
+
+def sharded(df: DataFrame, key: str = "dialogue_id", per_file: int = 100_000, tasks: int | None = None) -> DataFrame:
+    """``df`` with ``shard``: ``per_file`` rows in the order of ``key`` to a shard."""
+    return ranked(df, key, tasks).withColumn("shard", F.floor(F.col("place") / per_file)).drop("place")
+
+
+def listed(df: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """A listing in the order of ``key``; with ``most`` its first rows only, as a caller who asks for a limited run wants."""
+    out = df.orderBy(key)
+    return out.limit(most) if most is not None else out
 
 
 def write_shards(df: DataFrame, path: str, key: str = "dialogue_id", per_file: int = 100_000) -> None:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -80,3 +81,34 @@ def test_unit_vectors(spark):
     df = spark.createDataFrame([(v,), ([0.0] * 8,)], "v array<double>").select(arrays.unit(F.col("v")).alias("u"))
     n = [r.n for r in df.select(arrays.dot(F.col("u"), F.col("u")).alias("n")).collect()]
     assert abs(n[0] - 1) < 1e-12 and n[1] == 0
+
+
+EV = "events array<struct<pos:int,ratio:double,skip_forbid:int,pred:array<int>,hint:array<int>>>"
+
+
+def test_chosen_events(spark):
+    ev = [(5, 1.0, 1, [1], [2]), (0, 0.5, 0, [3], [4]), (5, 1.0, 1, [9], []), (2, 1.0, 1, [], []), (-1, 1.0, 1, [7], [7]), (9, 1.0, 1, [8], [])]
+    df = spark.createDataFrame([(ev,), ([],)], EV)
+    run_ = lambda **kw: [[(x["pos"], list(x["tokens"])) for x in r.x] for r in df.select(arrays.chosen_events(F.col("events"), 9, **kw).alias("x")).collect()]
+    assert run_() == [[(0, [3]), (5, [2]), (5, [9])], []]
+    assert run_(hint_only=True) == [[(0, [4]), (5, [2])], []]
+    assert run_(skip=1.0) == [[(5, [2]), (5, [9])], []]  # those that must not be skipped stay
+    moved = run_(jitter=2, seed=3)[0]
+    assert moved == run_(jitter=2, seed=3)[0] and all(0 <= a - b[0] <= 2 for (a, _), b in zip(moved, [(0,), (5,), (5,)]))
+
+
+def test_event_share_skipped(spark):
+    ev = [(i, 0.0, 0, [1], []) for i in range(4000)]
+    n = spark.createDataFrame([(ev,)], EV).select(F.size(arrays.chosen_events(F.col("events"), 4000, skip=0.3, seed=1)).alias("n")).first().n
+    assert 2650 < n < 2950
+
+
+def test_prompt_and_shift_bounds(spark):
+    assert run(spark, arrays.shift_within(F.col("row"), 9, 0), row=[1, 2, 3]) == [0, 0, 1] and run(spark, arrays.shift_within(F.col("row"), 0, 0), row=[1, 2, 3]) == [0, 1, 2]
+    assert run(spark, arrays.shift_within(F.col("row"), -9, 0), row=[1, 2, 3]) == [3, 0, 0] and run(spark, arrays.shift_within(F.col("row"), -9, 0), row=[1]) == [1]
+    e = run(spark, arrays.prompted_events(F.col("events"), 2, 5, 10, ["pos", "tokens"]), events=[(1, [1]), (2, [2]), (4, [3]), (5, [4])])
+    assert [(x["pos"], x["tokens"]) for x in e] == [(12, [2]), (14, [3])]
+    assert [x["tokens"] for x in run(spark, arrays.sorted_events(F.col("events")), events=[(3, [1]), (0, [2]), (3, [3])])] == [[2], [1], [3]]
+    assert run(spark, arrays.whole_if_prompted(F.col("n"), 5), n=1) is True and run(spark, arrays.whole_if_prompted(F.col("n"), 0), n=3) is True
+    with pytest.raises(Exception, match="must not be split"):
+        run(spark, arrays.whole_if_prompted(F.col("n"), 5), n=2)

@@ -70,3 +70,25 @@ def test_alignments_and_records(spark):
     assert tuple(files.words_of_alignments(a, "B").first()) == ("d", 0, "B", "hi", 0.5, 0.75)
     e = spark.sql("select 'd' dialogue_id, 0 event_idx, 5L timestamp_ms, 'c' conversation_context, 'p' prediction, 2 total_word_count, 't' trigger_word, 'r' recent_words, 0.5D current_spoken_ratio, 1 channel, cast(null as string) hint")
     assert files.event_records(e).first().record.startswith('{"timestamp_ms":5,"conversation_context":"c"') and '"hint":null' in files.event_records(e).first().record
+
+
+def test_ranks_of_any_ids(spark):
+    ids = [f"same_prefix_{i:05}" for i in range(300)] + ["é", "ü-7", "", "z" * 500, "same_prefix_00001"]
+    df = spark.createDataFrame([(x, i, "shard") for i, x in enumerate(ids)] + [(None, -1, "x")], "id string, v int, place string").drop("place")
+    got = {r.v: r.place for r in files.ranked(df, "id", 7).collect()}
+    order = sorted(range(len(ids)), key=lambda i: (ids[i].encode(), 0))
+    assert got[-1] == 0 and sorted(got.values()) == list(range(len(ids) + 1))
+    assert [ids[v] for v in sorted((v for v in got if v >= 0), key=got.get)] == [ids[i] for i in order]
+    assert files.ranked(df.limit(0), "id").count() == 0 and [r.id for r in files.listed(df, "id", 2).collect()] == [None, ""]
+
+
+def test_valid_packed_rows(spark):
+    cols = [f"{s}_oracle_{c}" for s in "AB" for c in ("event_frame_pos", "event_ratio", "event_skip_forbid", "pred_values", "pred_offsets", "hint_values", "hint_offsets")]
+    good = [[0, 3], [0.5, 1.0], [1, 1], [21, 22], [0, 1, 2], [], [0, 0, 0]]
+    none = [[], [], [], [], [0], [], [0]]
+    rows = [("ok", *good, *none), ("short", *good[:4], [0, 1], *good[5:], *none), ("falls", *good[:4], [0, 3, 2], *good[5:], *none), ("null", None, *good[1:], *none)]
+    kinds = ["array<int>", "array<float>", "array<int>", "array<int>", "array<int>", "array<int>", "array<int>"] * 2
+    df = spark.createDataFrame(rows, "id string, " + ", ".join(f"{c} {k}" for c, k in zip(cols, kinds)))
+    assert {r.id: r.valid for r in files.valid_packed(df).collect()} == {"ok": True, "short": False, "falls": False, "null": False}
+    with pytest.raises(KeyError):
+        files.valid_packed(df.drop(cols[3]))

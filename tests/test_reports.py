@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from talkloom.operators import reports
@@ -59,3 +60,30 @@ def test_nearest_of_all_vectors(spark, tmp_path):
     got = {(r.label, r.wanted): r.vec_id for r in plans.j10_nearest(spark, str(tmp_path)).collect()}
     assert [got["x", d] for d in range(10)] == list(range(10, 20))
     assert [got["y", d] for d in range(10)] == [102] * 5 + [106, 106] + [107] * 3
+
+
+def test_required_values(spark):
+    df = spark.createDataFrame([("d", "A", 1), ("d", "B", 2), ("e", "A", 3), (None, "B", 4)], "k string, s string, v int")
+    assert sorted(map(tuple, reports.missing_values(df, "k", "s", ["A", "B"]).collect()), key=repr) == [("e", "B"), (None, "A")]
+    assert sorted(r.v for r in reports.required(df, "k", "s", ["A", "B"], skip=True).collect()) == [1, 2]
+    assert reports.required(df.where("k = 'd'"), "k", "s", ["A", "B"]).count() == 2
+    with pytest.raises(Exception, match="missing s B in e"):
+        reports.required(df.where("k is not null"), "k", "s", ["A", "B"]).collect()
+
+
+def test_fail_fast_join(spark):
+    ids = lambda *xs: spark.createDataFrame([(x,) for x in xs], "id string")
+    assert sorted(r.id for r in reports.require_matching(ids("a", "b"), ids("b", "a"), ids("a", "b", "more"), "id").collect()) == ["a", "b"]
+    with pytest.raises(ValueError, match="1 text without audio, 1 audio without text"):
+        reports.require_matching(ids("a"), ids("b"), None, "id")
+    with pytest.raises(ValueError, match="1 text without events"):
+        reports.require_matching(ids("a", "b"), ids("b", "a"), ids("a"), "id")
+
+
+def test_status_and_funnel(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "id string")
+    one = lambda *xs: spark.createDataFrame([(x,) for x in xs], "id string")
+    s = reports.first_match(df, "id", {"first": one("a", "a"), "second": one("a", "b", None)}, "none")
+    assert {r.id: r.status for r in s.collect()} == {"a": "first", "b": "second", "c": "none", None: "none"}
+    assert [tuple(r) for r in reports.funnel(s, "status", ["first", "second", "third", "none"]).orderBy("place").collect()] == [(0, "first", 1, "25%"), (1, "second", 1, "25%"), (2, "third", 0, "0%"), (3, "none", 2, "50%")]
+    assert [r.share for r in reports.funnel(s.limit(0), "status", ["x"]).collect()] == ["-"]

@@ -32,3 +32,16 @@ def test_training(spark):
     df = spark.createDataFrame([(0, 1.0, 1), (15, float("nan"), 2), (30, 3.0, 0)], "step int, loss double, label int")
     r = df.select(F.collect_list(training.hint_only_share(F.col("step"), 10, 20)).alias("s"), training.mean_without_nan(F.col("loss")).alias("m"), training.masked_mean(F.col("loss"), F.col("label"), 0).alias("k")).first()
     assert r.s == [1.0, 0.5, 0.0] and r.m == 2.0
+
+
+def test_byte_pieces_are_merged():
+    m = tokenize.merged_pieces
+    assert m(["▁a", "<0xF0>", "<0x9F>", "<0x99>", "<0x82>", "b"]) == ["▁a", "🙂", "b"] and m([]) == []
+    assert m(["<0xC3>", "x", "<0x41>"]) == ["<0xC3>", "x", "A"]
+
+
+@pytest.mark.skipif(not Path("/opt/tokenizers/piece_bpe_32k.model").exists(), reason="no vocabulary file")
+def test_pieces_by_model(spark):
+    df = spark.createDataFrame([("hello 🙂 𒀀 there",), (None,), ("",)], "t string")
+    got = [r.p for r in df.select(tokenize.token_pieces(F.col("t"), "/opt/tokenizers/piece_bpe_32k.model").alias("p")).collect()]
+    assert "".join(got[0]).replace("▁", " ").strip() == "hello 🙂 𒀀 there" and got[1] is None and not got[2]

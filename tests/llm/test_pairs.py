@@ -1,4 +1,7 @@
 import random
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from talkloom.llm import labelmodel, pairs
 
@@ -94,6 +97,74 @@ def test_several_defects_and_empty_table(spark):
     assert pairs.defects(spark.createDataFrame([], EVENTS)).count() == 0
 
 
+def test_languages_are_learned_from_every_event(spark):
+    """Words that only the last 300 of 6,600 events teach, by the hash that once chose 6,000 contexts to learn from, tell the language of other lines."""
+    rows, _ = data(1500, seed=5)
+    english = [r for r in rows if r[1] % 5]
+    order = [r[0] for r in spark.range(6600).select(F.col("id").cast("int").alias("event_idx")).orderBy(F.pmod(F.xxhash64(F.lit("d"), "event_idx"), F.lit(1 << 30)), "event_idx").collect()]
+    taught = "A: die bluse hängt am haken und wir holen frischen zwiebelkuchen"
+    events = [("d", i, english[n % len(english)][2], "May I borrow the reading lamp at gate nine.", "", "") for n, i in enumerate(order[:6300])]
+    events += [("d", i, taught, "Wir holen die Bluse.", "", "") for i in order[6300:]]
+    events += [("e", i, english[i][2], "Holen frischen Zwiebelkuchen, hängt Bluse.", "", "") for i in range(30)]
+    got = pairs.defects(spark.createDataFrame(events, EVENTS)).where("defect = 'language'").collect()
+    assert sorted((r.dialogue_id, r.event_idx) for r in got) == [("e", i) for i in range(30)]
+
+
+def test_word_scores_by_brute_force(spark):
+    rows, _ = data(300, seed=2)
+    rows += [("e", 0, None, "Unheard words.", "", None), ("e", 1, "", "Alone", "", None), ("e", 2, "A: hm", None, "", None), *rows[:20]]
+    counts, scene = {}, set()
+    for _, _, context, text, _, _ in rows:
+        if context is None:
+            continue
+        words = [w for x in context.split("\n") for w in pairs.WORD.findall(pairs.bare_line(x).lower())]
+        scene |= set(words)
+        n = [sum(w in ws for w in words) for ws in pairs.FUNCTION_WORDS.values()]
+        k = n.index(max(n)) if max(n) and n.count(max(n)) == 1 else None
+        for w in words + pairs.WORD.findall(pairs.bare_line(text).lower()):
+            c = counts.setdefault(w, [0, Counter()])
+            c[0] += 1
+            c[1].update([k] if k is not None else [])
+    grams = {}
+    of = lambda w: [f"^{w}$"[i : i + 3] for i in range(len(w))]
+    for w, (_, c) in counts.items():
+        for t in of(w) if c else []:
+            grams.setdefault(t, Counter()).update(c)
+    told = {w: c for w, (_, c) in counts.items() if c}
+    log = lambda c, every, k: round(pairs.np.log((c[k] + 0.1) / (sum(x[k] for x in every.values()) + 0.1 * len(every))) * pairs.UNIT)
+    got = {r.w: r for r in pairs.word_scores(spark.createDataFrame(rows, EVENTS)).collect()}
+    assert got.keys() == counts.keys() and "alone" in got and "unheard" not in got
+    for w, r in got.items():
+        want = [log(told[w], told, k) if w in told else 0 for k in range(4)] + [sum(log(grams[t], grams, k) for t in of(w) if t in grams) for k in range(4)]
+        assert (r.n, r.scene) == (counts[w][0], w in scene)
+        assert all(abs(a - b) <= len(w) for a, b in zip(r.scores, want)), (w, r.scores, want)  # the last digit of a logarithm may differ
+
+
+def test_words_that_tasks_do_not_hold_are_joined(spark, monkeypatch):
+    rows, _ = data(700, seed=6)
+    rows += [("e", 0, None, "I am only a language model.", "", None), ("e", 1, "", None, None, None), *rows[:30]]
+    events = spark.createDataFrame(rows, EVENTS).repartition(3)
+    want = sorted(map(tuple, pairs.defects(events).collect()))
+    assert {r[2] for r in want} == set(pairs.DEFECTS)
+    monkeypatch.setattr(pairs, "KEEP", 20)
+    monkeypatch.setattr(pairs, "FLUSH", 20)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        for known in (0, 25):
+            assert sorted(map(tuple, pairs.defects(events, known_words=known).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_cutoffs_come_from_all_events(spark, monkeypatch):
+    rows, _ = data(900, seed=8)
+    seen = []
+    cutoff = labelmodel.cutoff
+    monkeypatch.setattr(labelmodel, "cutoff", lambda held, *a: seen.append(sum(held.values())) or cutoff(held, *a))
+    pairs.defects(spark.createDataFrame(rows, EVENTS)).collect()
+    assert len(seen) == 5 and max(seen) == len(rows)
+
+
 def test_copy_votes():
     line = "one two three four five six seven eight nine ten".split()
     assert pairs.copy_votes([tuple(line)], line)[2] == 1

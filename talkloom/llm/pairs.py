@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -103,7 +103,7 @@ SENTENCE = re.compile(r"([^.?!…]+)([.?!…]*)")
 
 def bare_line(text: str | None) -> str:
     """A line without its speaker label."""
-    return LABEL.sub("", text or "", count=1)
+    return LABEL.sub("", text, count=1) if text and ":" in text else text or ""
 
 
 def longest_in_order(line: list[str], pred: list[str]) -> int:
@@ -173,7 +173,11 @@ def _count_words(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         stops, by_line, by_word = (np.zeros((0, len(NAMES) + k), dtype=np.int64) for k in (0, 1, 1))
 
     def ids(text: str) -> list[int]:
-        return [place.setdefault(w, len(place)) for w in WORD.findall(bare_line(text).lower())]
+        ws = WORD.findall(bare_line(text).lower())
+        try:
+            return [place[w] for w in ws]
+        except KeyError:
+            return [place.setdefault(w, len(place)) for w in ws]
 
     def longer(table: np.ndarray, n: int) -> np.ndarray:
         return np.concatenate([table, np.zeros((n - len(table), table.shape[1]), dtype=np.int64)])
@@ -273,7 +277,7 @@ class Languages:
 
     def ids(self, ws: Sequence[str]) -> list[int]:
         """Places of words in the table of scores."""
-        return [self.place.get(w, 0) for w in ws]
+        return list(map(self.place.get, ws, repeat(0)))
 
 
 #: By how much the best language must lead, by model.
@@ -313,9 +317,9 @@ def refusal_votes(low: str, ws: list[str], scene: set[str], near: set[str], trig
         task = any(_TASK.search(x) is not None and _DENIES.search(x) is not None for x in CLAUSE.split(low)) if _TASK.search(low) else False
     content = [w for w in ws if len(w) > 3]
     some = named or denied or task
-    new = sum(w not in scene for w in content)
+    new = len(content) - sum(map(scene.__contains__, content))
     out = "1" if some and new * 4 >= len(content) and new else "0" if content and not new else "x"
-    own = "0" if any(w in near for w in content) else "1" if some and len(ws) > 3 else "x"
+    own = "0" if not near.isdisjoint(content) else "1" if some and len(ws) > 3 else "x"
     return "".join(str(int(v)) for v in (named, denied, task, sends)) + out + own
 
 
@@ -326,15 +330,17 @@ def _read(langs: Languages):
     opens = {w for ws in OPEN_WORDS.values() for w in ws}
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[tuple[str, str], list[int]] = {}
+        counts: Counter[tuple[str, str]] = Counter()
+        ends: Counter[tuple[str, str]] = Counter()
         lines: dict[str, int] = {}
         words_of: list[tuple[str, ...]] = []
         triggers = Triggers()
         scores = np.zeros((0, langs.table.shape[1]), dtype=np.int64)
 
         def flush() -> pd.DataFrame:
-            rows = [(None, None, None, None, None, a, b, None, n, e) for (a, b), (n, e) in counts.items()]
+            rows = [(None, None, None, None, None, *p, None, n, ends[p]) for p, n in counts.items()]
             counts.clear()
+            ends.clear()
             return pd.DataFrame(rows, columns=_COLS)
 
         for pdf in it:
@@ -363,7 +369,7 @@ def _read(langs: Languages):
             theirs = _best(_sums(contexts, scores))
             ours = _best(_sums([langs.ids(ws) for ws in preds], langs.table))
             other = np.where((theirs < 0) | (ours < 0), "x", np.where(theirs != ours, "1", "0"))
-            out = []
+            out, seen, ended = [], [], []
             for n, (d, k, hint, low, ws) in enumerate(zip(pdf["dialogue_id"], pdf["event_idx"], pdf["hint"], lows, preds)):
                 if not ws:
                     out.append((d, k, "empty:11", False, True, None, None, None, None, None))
@@ -377,24 +383,27 @@ def _read(langs: Languages):
                 near = set().union(*known, WORD.findall((hint or "").lower()))
                 votes.append("refusal:" + refusal_votes(low, ws, langs.scene, near, triggers))
                 prev = last = is_open = None
-                for body, stop in SENTENCE.findall(low):
-                    ts = [t if t.isalpha() else DIGITS.sub("#", t) for t in TOKEN.findall(body)]
+                sentences = SENTENCE.findall(low)
+                as_words = len(sentences) == 1 and "'" not in low and "-" not in low
+                digits = DIGITS.search(low) is not None
+                for body, stop in sentences:
+                    ts = ws if as_words else TOKEN.findall(body)
                     if not ts:
                         continue
+                    if digits:
+                        ts = [DIGITS.sub("#", t) for t in ts]
                     pairs = list(zip(["^", *ts], ts))
                     if not stop:
                         prev, last = pairs.pop()
                         is_open = -1 if len(ws) == 1 else int(ts[-1] in opens and len(ts) > 1)
                     else:
                         prev = last = is_open = None
-                    for p in pairs:
-                        c = counts.get(p)
-                        if c is None:
-                            c = counts[p] = [0, 0]
-                        c[0] += 1
+                    seen += pairs
                     if stop:
-                        counts[pairs[-1]][1] += 1
+                        ended.append(pairs[-1])
                 out.append((d, k, " ".join(votes), bool(order), False, prev, last, is_open, None, None))
+            counts.update(seen)
+            ends.update(ended)
             yield pd.DataFrame(out, columns=_COLS)
             if len(counts) > FLUSH:
                 yield flush()
